@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.residues import contact_term, residue_term
 from ..operators.latest import finite, latest_rows
-from . import cooccurrence, cutoff, frequency, topn
+from . import cooccurrence, cutoff, frequency, packing, tokens, topn
 
 #: Contacts of one result have neighbouring ids; so many of them are exchanged together.
 NEAR = 4096
@@ -90,8 +90,39 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.select(F.col("item_a").alias("residue_a"), F.col("item_b").alias("residue_b"))
 
 
+# 6 ------------------------------------------------------------------------------------------------
+def p6_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return tokens.encode_corpus(_read(spark, sf, "documents", "doc_id", "text"))
+
+
+def p6_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents by whether decoding their ids gives back the text (null: the empty text)."""
+    docs = _read(spark, sf, "documents", "doc_id", "text")
+    back = tokens.decode_corpus(tokens.encode_corpus(docs)).select("doc_id", "decoded")
+    same = F.col("decoded") == F.coalesce("text", F.lit(""))
+    return docs.join(back, "doc_id").groupBy(same.alias("same")).agg(F.count(F.lit(1)).alias("n_docs"))
+
+
+# 7 ------------------------------------------------------------------------------------------------
+def _capacities(spark: SparkSession, sf: str) -> dict[int, int]:
+    rows = _read(spark, sf, "containers", "container_id", "capacity_tokens").filter("capacity_tokens > 0").collect()  # fixed, three rows
+    return {r.container_id: r.capacity_tokens for r in rows}
+
+
+def p7_filled(spark: SparkSession, sf: str) -> DataFrame:
+    sizes = tokens.token_counts(_read(spark, sf, "documents", "doc_id", "text"))
+    out = packing.fill_containers(sizes, _capacities(spark, sf))
+    return out.withColumnsRenamed({"size_from": "token_from", "size_of": "n_tokens"})
+
+
+def p7_summary(spark: SparkSession, sf: str) -> DataFrame:
+    sizes = tokens.token_counts(_read(spark, sf, "documents", "doc_id", "text"))
+    capacities = _capacities(spark, sf)
+    return packing.container_summary(packing.fill_containers(sizes, capacities), capacities)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [p1_terms, p1_found, p2_cutoffs, p2_found, p3_best, p3_found, p4_pairs, p4_found]
+    own = [p1_terms, p1_found, p2_cutoffs, p2_found, p3_best, p3_found, p4_pairs, p4_found, p6_ids, p6_roundtrip, p7_filled, p7_summary]
     return {f.__name__: f for f in own}
 
 

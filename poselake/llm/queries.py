@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.residues import contact_term, residue_term
 from ..operators.latest import finite, latest_rows
-from . import cooccurrence, cutoff, frequency, packing, tokens, topn
+from . import cooccurrence, cutoff, frequency, mojibake, packing, tokens, topn
 
 #: Contacts of one result have neighbouring ids; so many of them are exchanged together.
 NEAR = 4096
@@ -121,8 +121,28 @@ def p7_summary(spark: SparkSession, sf: str) -> DataFrame:
     return packing.container_summary(packing.fill_containers(sizes, capacities), capacities)
 
 
+# 8 ------------------------------------------------------------------------------------------------
+def _texts(spark: SparkSession, sf: str) -> DataFrame:
+    return _read(spark, sf, "documents", "doc_id", "text", "source")
+
+
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    return mojibake.repair(_texts(spark, sf)).filter("garbled").select("doc_id")
+
+
+def p8_restored(spark: SparkSession, sf: str) -> DataFrame:
+    return mojibake.repair(_texts(spark, sf)).filter("garbled").select("doc_id", "restored", "n_restored", "n_lost")
+
+
+def p8_ciphers(spark: SparkSession, sf: str) -> DataFrame:
+    """The swaps learned for each source: the share garbled of the runs that each can have made."""
+    learned, pairs = mojibake.learn(_texts(spark, sf)), mojibake.swaps()
+    rows = [(s, *pairs[k], float(w)) for s, weights in learned.weights.items() for k, w in sorted(weights.items())]
+    return spark.createDataFrame(rows, "source string, shown string, meant string, weight double")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [p1_terms, p1_found, p2_cutoffs, p2_found, p3_best, p3_found, p4_pairs, p4_found, p6_ids, p6_roundtrip, p7_filled, p7_summary]
+    own = [p1_terms, p1_found, p2_cutoffs, p2_found, p3_best, p3_found, p4_pairs, p4_found, p6_ids, p6_roundtrip, p7_filled, p7_summary, p8_found, p8_restored, p8_ciphers]
     return {f.__name__: f for f in own}
 
 

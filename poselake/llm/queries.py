@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from ..functions.residues import contact_term, residue_term
 from ..operators.latest import finite, latest_rows
-from . import cooccurrence, cutoff, frequency, mojibake, packing, tokens, topn
+from ..session import written
+from . import clusters, cooccurrence, cutoff, frequency, mojibake, packing, tokens, topn
 
 #: Contacts of one result have neighbouring ids; so many of them are exchanged together.
 NEAR = 4096
@@ -90,6 +91,48 @@ def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return pairs.select(F.col("item_a").alias("residue_a"), F.col("item_b").alias("residue_b"))
 
 
+# 5 ------------------------------------------------------------------------------------------------
+_XYZ = ("x", "y", "z")
+
+
+def _positions(spark: SparkSession, sf: str) -> DataFrame:
+    """(kind, campaign_id, member_id, part, x, y, z): part is what a group needs three of."""
+
+    def one(kind: str, table: str, key: str, position: str, part: str) -> DataFrame:
+        df = latest_rows(_read(spark, sf, table, key, "campaign_id", position, part, "loaded_at").filter(F.col(key).isNotNull()), [key])
+        p = F.col(position)
+        whole = df.filter(F.size(p) == 3)
+        return whole.select(F.lit(kind).alias("kind"), "campaign_id", F.col(key).alias("member_id"), F.col(part).cast("string").alias("part"), *[finite(F.get(p, i)).alias(c) for i, c in enumerate(_XYZ)]).dropna(subset=list(_XYZ))
+
+    return one("centroid", "fragment_centroids", "centroid_id", "centroid", "molecule_name").unionByName(one("hotspot", "hotspots", "hotspot_uid", "center", "run_no"))
+
+
+def _groups(rows: DataFrame, least: int = 3) -> DataFrame:
+    groups = clusters.near_groups(rows, ["kind", "campaign_id"], "member_id", _XYZ)
+    placed = groups.join(rows.select("kind", "member_id", "part"), ["kind", "member_id"])
+    big = placed.groupBy("kind", "first_id").agg(F.countDistinct("part").alias("n_parts")).filter(F.col("n_parts") >= least)
+    return groups.join(big, ["kind", "first_id"])
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _groups(written(_positions(spark, sf))).select("kind", "first_id", "member_id")
+
+
+def p5_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """The listed groups by size, radius and most typical members."""
+    rows = written(_positions(spark, sf))
+    listed = _groups(rows)
+    sizes = clusters.typical_members(written(listed.select("kind", "campaign_id", "member_id", "first_id")).filter("campaign_id is not null"), rows, ["kind", "campaign_id"], "member_id", _XYZ)
+    return sizes.withColumn("radius", F.round("radius", 6))
+
+
+def p5_clusters(spark: SparkSession, sf: str) -> DataFrame:
+    """k-means clusters of the positions, apart by kind and campaign, by size and most typical members."""
+    rows = _positions(spark, sf).withColumn("key", F.concat_ws(":", "kind", F.col("member_id").cast("string")))
+    vector = clusters.hashed_features(dict.fromkeys(_XYZ, 1.0), {"kind": 1000.0, "campaign_id": 1000.0})
+    return clusters.kmeans_clusters(rows, "key", vector, k=64)
+
+
 # 6 ------------------------------------------------------------------------------------------------
 def p6_ids(spark: SparkSession, sf: str) -> DataFrame:
     return tokens.encode_corpus(_read(spark, sf, "documents", "doc_id", "text"))
@@ -142,7 +185,7 @@ def p8_ciphers(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [p1_terms, p1_found, p2_cutoffs, p2_found, p3_best, p3_found, p4_pairs, p4_found, p6_ids, p6_roundtrip, p7_filled, p7_summary, p8_found, p8_restored, p8_ciphers]
+    own = [p1_terms, p1_found, p2_cutoffs, p2_found, p3_best, p3_found, p4_pairs, p4_found, p5_found, p5_groups, p5_clusters, p6_ids, p6_roundtrip, p7_filled, p7_summary, p8_found, p8_restored, p8_ciphers]
     return {f.__name__: f for f in own}
 
 
@@ -201,8 +244,22 @@ def _cell(k: str, row: str, column: str) -> str:
 _LLR = "2 * (" + " + ".join([_cell("n", "n_a", "n_b"), _cell("n_a - n", "n_a", "n_baskets - n_b"), _cell("n_b - n", "n_baskets - n_a", "n_b"), _cell("n_baskets - n_a - n_b + n", "n_baskets - n_a", "n_baskets - n_b")]) + ")"
 
 
+_POSITIONS = f"""p AS MATERIALIZED (
+  SELECT 'centroid' AS kind, campaign_id, centroid_id AS id, molecule_name AS part, centroid AS c FROM ({_latest("fragment_centroids", "centroid_id")})
+  UNION ALL SELECT 'hotspot', campaign_id, hotspot_uid, CAST(run_no AS VARCHAR), center FROM ({_latest("hotspots", "hotspot_uid")})),
+q AS MATERIALIZED (SELECT kind, campaign_id, id, part, c[1] AS x, c[2] AS y, c[3] AS z FROM p WHERE len(c) = 3 AND isfinite(c[1]) AND isfinite(c[2]) AND isfinite(c[3])),
+e AS MATERIALIZED (SELECT a.kind, a.id AS u, b.id AS v FROM q a JOIN q b ON a.kind = b.kind AND a.campaign_id IS NOT DISTINCT FROM b.campaign_id
+  AND abs(a.x - b.x) <= 2.001 AND (a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2 <= 4 + 1e-9)"""
+_P5 = f"""WITH RECURSIVE {_POSITIONS},
+r(kind, root, node) AS (SELECT kind, id, id FROM q UNION SELECT r.kind, r.root, e.v FROM r JOIN e ON e.kind = r.kind AND e.u = r.node),
+g AS (SELECT kind, node AS member_id, min(root) AS first_id FROM r GROUP BY 1, 2),
+b AS (SELECT g.kind, first_id FROM g JOIN q ON q.kind = g.kind AND q.id = g.member_id GROUP BY 1, 2 HAVING count(DISTINCT part) >= 3)
+SELECT kind, first_id, member_id FROM g JOIN b USING (kind, first_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "p5_found": _P5,
         "p1_terms": _P1 + "SELECT * FROM m",
         "p1_found": _P1 + "SELECT field_name, term, mark FROM m WHERE mark IS NOT NULL",
         "p2_cutoffs": _P2 + "SELECT n.source_file, n.score_name, t.target_percent, b.cutoff, n.n_total, coalesce(c.n_kept, 0) AS n_kept, coalesce(c.n_tied, 0) AS n_tied "

@@ -64,6 +64,11 @@ def _bytes(run: str, shown: str) -> bytes | None:
         return None
 
 
+@lru_cache(None)
+def _shows(page: str) -> frozenset[str]:
+    return frozenset(_byte_of(page))
+
+
 def swaps() -> list[tuple[str, str]]:
     """All (shown, meant) pairs tried; the last is single bytes read as UTF-8."""
     return [(s, m) for s in SHOWN for m in ("utf_8", "utf_8 twice", *MEANT) if s != m] + [("utf_8", "cp1252")]
@@ -130,16 +135,25 @@ def _fold(text: str) -> str:
     return _RUN.sub("\x01", re.sub(r"[0-9]", "0", text))
 
 
+@lru_cache(100_000)
+def _left(text: str) -> str:
+    return _fold(text).rjust(2, "\n")[-2:]
+
+
+@lru_cache(100_000)
+def _right(text: str) -> str:
+    return _fold(text).ljust(2, "\n")[:2]
+
+
 def _key(a: int, b: int, c: int) -> int:
     return ((a * 0x9E3779B97F4A7C15 + b * 0xC2B2AE3D27D4EB4F + c * 0x165667B19E3779F9 + 0x27D4EB2F165667C5) & 0xFFFFFFFFFFFFFFFF) >> 42
 
 
-def ngrams(window: str):
-    """Buckets of the n-grams that end in each character of ``window`` after its first two."""
-    code = [ord(c) + 2 for c in window]
-    for i in range(2, len(code)):
-        a, b, c = code[i - 2], code[i - 1], code[i]
-        yield _key(a, b, c), _key(a, b, 0), _key(1, b, c), _key(1, b, 0), _key(1, 1, c)
+@lru_cache(500_000)
+def ngrams(three: str) -> tuple[int, int, int, int, int]:
+    """Buckets of the n-grams that end in the last of ``three`` characters."""
+    a, b, c = (ord(x) + 2 for x in three)
+    return _key(a, b, c), _key(a, b, 0), _key(1, b, c), _key(1, b, 0), _key(1, 1, c)
 
 
 class Bigrams:
@@ -148,42 +162,57 @@ class Bigrams:
     def __init__(self, counts: np.ndarray):
         self.n = counts
         self.total = float(counts[_key(1, 1, 1)]) + 1.0
+        self.known: dict[str, float] = {}
+        self.seen: dict[str, bool] = {}
+
+    def _log(self, three: str) -> float:
+        n = self.n
+        whole, two_before, two, one_before, one = (float(n[k]) for k in ngrams(three))
+        p = (one + 0.05) / self.total
+        p = (two + _BACKOFF * p) / (one_before + _BACKOFF)
+        if len(self.known) > 1_000_000:
+            self.known.clear()
+        out = self.known[three] = math.log((whole + _BACKOFF * p) / (max(two_before, whole) + _BACKOFF))
+        return out
 
     def score(self, window: str) -> float:
-        n, out = self.n, 0.0
-        for three, two_before, two, one_before, one in ngrams(window):
-            p = (n[one] + 0.05) / self.total
-            p = (n[two] + _BACKOFF * p) / (n[one_before] + _BACKOFF)
-            out += math.log((n[three] + _BACKOFF * p) / (max(n[two_before], n[three]) + _BACKOFF))
+        known, out = self.known, 0.0
+        for i in range(2, len(window)):
+            three = window[i - 2 : i + 1]
+            got = known.get(three)
+            out += self._log(three) if got is None else got
         return out
 
     def knows(self, char: str) -> bool:
-        return self.n[_key(1, 1, ord(char) + 2)] >= 1
+        got = self.seen.get(char)
+        if got is None:
+            got = self.seen[char] = bool(self.n[_key(1, 1, ord(char) + 2)] >= 1)
+        return got
 
 
 def windows(text: str):
     """(start, end, left, run, right) of every non-ASCII run, with two characters on each side, digits folded."""
     for m in _RUN.finditer(text):
         a, b = m.span()
-        left = _fold(text[max(0, a - 2) : a]).rjust(2, "\n")[-2:]
-        right = _fold(text[b : b + 2]).ljust(2, "\n")[:2]
-        yield a, b, left, m.group(), right
+        yield a, b, _left(text[a - 2 if a > 1 else 0 : a]), m.group(), _right(text[b : b + 2])
 
 
 def _count_ngrams(window: str, weight: float, into: dict[int, float]) -> None:
-    for three, two_before, two, one_before, one in ngrams(window):
-        into[three] += weight
-        into[two_before] += weight
-        into[two] += weight
-        into[one_before] += weight
-        into[one] += weight
-        into[_key(1, 1, 1)] += weight
+    for i in range(2, len(window)):
+        for key in ngrams(window[i - 2 : i + 1]):
+            into[key] += weight
+    into[_key(1, 1, 1)] += weight * (len(window) - 2)
 
 
 def candidates(left: str, run: str, right: str, model: Bigrams, pairs) -> list[tuple[int, str, float]]:
     """(index of the swap, restored run, gain in log likelihood) of the swaps that can have made ``run``."""
     raw, seen, out = None, {}, []
+    chars, able = set(run), {}
     for k, (shown, meant) in pairs:
+        if shown not in able:
+            able[shown] = shown == "utf_8" or not chars.isdisjoint(_shows(shown))
+        if not able[shown] or (len(run) < 2 and meant in MULTIBYTE):
+            continue
         got = restore(run, shown, meant)
         if got is None:
             continue
@@ -337,40 +366,36 @@ class Judge:
     def __init__(self, learned: Learned, threshold: float):
         self.model, self.learned, self.threshold = Bigrams(learned.counts), learned, threshold
         self.active = [(k, p) for k, p in enumerate(swaps()) if k in learned.weights[None]]
-        self.known: dict[tuple[str, str, str], dict[int, tuple[str | None, float]]] = {}
+        self.odds = {s: {k: math.log(_odds(w)) for k, w in weights.items()} for s, weights in learned.weights.items()}
+        self.known: dict[tuple[str, str, str], list[tuple[int, str, float, float]]] = {}
 
-    def weigh(self, left: str, run: str, right: str) -> dict[int, tuple[str | None, float]]:
-        """Of each swap that could have made the run: (restored, gain), negative gains included."""
+    def weigh(self, left: str, run: str, right: str) -> list[tuple[int, str, float, float]]:
+        """(swap, restored, gain, evidence of garbled-or-not) of each swap that can have made the run."""
         key = (left, run, right)
         got = self.known.get(key)
         if got is None:
-            raw = self.model.score(left + run + right)
-            got = {}
-            for k, (shown, meant) in self.active:
-                back = restore(run, shown, meant)
-                if back is not None:
-                    gain = self.model.score(left + back + right) - raw if all(map(self.model.knows, back[:8])) else -30.0
-                    got[k] = (back, gain)
             if len(self.known) > 500_000:
                 self.known.clear()
-            self.known[key] = got
+            able = candidates(left, run, right, self.model, self.active)
+            got = self.known[key] = [(k, back, gain, math.log(0.5 * math.exp(min(gain, 600)) + 0.5)) for k, back, gain in able]
         return got
 
     def judge(self, text: str, source: str | None) -> tuple[bool, str | None, int, int]:
         """(garbled, restored text, runs restored, characters lost)."""
-        lost = text.count("�")
-        runs = list(windows(text))
-        prior = self.learned.prior(source)
-        evidence: dict[int, float] = defaultdict(float)
-        for key in {r[2:] for r in runs}:
-            for k, (_, gain) in self.weigh(*key).items():
-                evidence[k] += math.log(0.5 * math.exp(min(gain, 600)) + 0.5)
-        chosen = {k for k, e in evidence.items() if e + math.log(_odds(prior.get(k, 1e-9))) > self.threshold}
+        lost = text.count("\ufffd")
+        evidence: dict[int, float] = {}
+        likely = False
+        for key in {(left, run, right) for _, _, left, run, right in windows(text)}:
+            for k, _, gain, e in self.weigh(*key):
+                evidence[k] = evidence.get(k, 0.0) + e
+                likely = likely or gain > 0
+        odds = self.odds.get(source) or self.odds[None]
+        chosen = {k for k, e in evidence.items() if e + odds.get(k, -20.0) > self.threshold} if likely else ()
         if not chosen:
             return bool(lost), None, 0, lost
         pieces, at, n = [], 0, 0
-        for a, b, *key in runs:
-            best = max(((gain, back) for k, (back, gain) in self.weigh(*key).items() if k in chosen), default=(0.0, None))
+        for a, b, *key in windows(text):
+            best = max(((gain, back) for k, back, gain, _ in self.weigh(*key) if k in chosen), default=(0.0, None))
             if best[0] > 0:
                 pieces += [text[at:a], best[1]]
                 at, n = b, n + 1

@@ -54,8 +54,8 @@ def footprint(spark: SparkSession, sf: str) -> DataFrame:
     lines = raw(spark, sf, "lineitem", "l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "l_discount", "l_tax", "l_quantity")
     parts = raw(spark, sf, "part", "p_partkey", "p_brand", "p_size")
     df = lines.join(parts, lines.l_partkey == parts.p_partkey)
-    vdw, es = F.round(F.col("l_discount") * 20 - 1.5, 4), F.round(F.col("l_tax") * 30 - F.col("l_quantity") / 20, 4)
+    vdw, es = F.round(F.col("l_discount") * 20 - 1.5, 4) + 0.0, F.round(F.col("l_tax") * 30 - F.col("l_quantity") / 20, 4) + 0.0  # no negative zero
     return df.select(
-        F.col("l_suppkey").alias("name"), (F.col("l_orderkey") % 16).cast("int").alias("pose_id"), F.col("p_brand").alias("residue_id"), vdw.alias("vdw"), es.alias("es"), F.round(vdw + es, 4).alias("total"),
+        F.col("l_suppkey").alias("name"), (F.col("l_orderkey") % 16).cast("int").alias("pose_id"), F.col("p_brand").alias("residue_id"), vdw.alias("vdw"), es.alias("es"), (F.round(vdw + es, 4) + 0.0).alias("total"),
         (F.col("p_size") / -50.0).alias("ref_vdw"), F.lit(-0.25).alias("ref_es"),
     ).withColumn("ref_total", F.col("ref_vdw") + F.col("ref_es"))

@@ -6,8 +6,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-FIT = "name string, score_key string, n_poses int, n_levels int, r2 double, adj_r2 double, residual_std double, intercept double"
-PART = "name string, score_key string, fragment_id int, cluster int, coefficient double, std_error double, partial_r2 double, n_poses int"
+FIT = "n_poses int, n_levels int, r2 double, adj_r2 double, residual_std double, intercept double"
+PART = "fragment_id int, cluster int, coefficient double, std_error double, partial_r2 double, n_poses int"
 
 
 def _fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float, float]:
@@ -74,18 +74,21 @@ def score_decomposition(labels: DataFrame, scores: DataFrame, least: int = 5) ->
     """
     joined = labels.join(scores, ["name", "pose_index"]).select("name", "score_key", "fragment_id", "pose_index", "cluster", "value")
 
+    keys = ", ".join(f"{c} {t}" for c, t in joined.dtypes[:2])
+    fit, part = f"{keys}, {FIT}", f"{keys}, {PART}"
+
     def fits(pdf: pd.DataFrame) -> pd.DataFrame:
         table, _, score = _table(pdf)
         got = decompose(table, score, least)
         row = {"name": pdf["name"].iloc[0], "score_key": pdf["score_key"].iloc[0]}
-        return pd.DataFrame([row | got[0]] if got else [], columns=[c.split()[0] for c in FIT.split(", ")])
+        return pd.DataFrame([row | got[0]] if got else [], columns=[c.split()[0] for c in fit.split(", ")])
 
     def parts(pdf: pd.DataFrame) -> pd.DataFrame:
         table, fragments, score = _table(pdf)
         got = decompose(table, score, least)
         row = {"name": pdf["name"].iloc[0], "score_key": pdf["score_key"].iloc[0]}
         rows = [row | {"fragment_id": fragments[p.pop("fragment")]} | p for p in got[1]] if got else []
-        return pd.DataFrame(rows, columns=[c.split()[0] for c in PART.split(", ")])
+        return pd.DataFrame(rows, columns=[c.split()[0] for c in part.split(", ")])
 
     by = joined.groupBy("name", "score_key")
-    return by.applyInPandas(fits, FIT), by.applyInPandas(parts, PART)
+    return by.applyInPandas(fits, fit), by.applyInPandas(parts, part)

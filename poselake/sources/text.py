@@ -8,9 +8,8 @@ from pyspark.sql import functions as F
 
 def whole_files(spark: SparkSession, path: str | list[str], pattern: str | None = None) -> DataFrame:
     """(path, value): one row per file, line ends as ``\\n``. Files are one molecule's or one receptor's, so they fit a row."""
-    reader = spark.read.option("wholetext", True).option("recursiveFileLookup", False)
-    reader = reader.option("pathGlobFilter", pattern) if pattern else reader
-    df = reader.text(path).select(F.col("_metadata.file_path").alias("path"), "value")
+    reader = spark.read.option("pathGlobFilter", pattern) if pattern else spark.read
+    df = reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
     return df.withColumn("value", F.regexp_replace("value", "\r\n?", "\n"))
 
 

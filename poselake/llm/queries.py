@@ -21,15 +21,15 @@ def _read(spark: SparkSession, sf: str, table: str, *columns: str) -> DataFrame:
 
 
 def _contacts(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """Counting rows, with ``__near``: a result's contacts share it but for those at a boundary."""
     df = _read(spark, sf, "residue_contacts", "contact_id", "result_id", *columns, "loaded_at")
-    df = df.withColumn("near", F.floor(F.col("contact_id") / NEAR))
-    return latest_rows(df, ["contact_id"], near=F.col("near"))
+    return latest_rows(df, ["contact_id"], near=F.floor(F.col("contact_id") / NEAR), keep_near=True)
 
 
 # 1 ------------------------------------------------------------------------------------------------
 def p1_terms(spark: SparkSession, sf: str) -> DataFrame:
     df = _contacts(spark, sf, "residue_id", "contact_type")
-    pairs = frequency.term_pairs(df, {"residue_id": residue_term(F.col("residue_id")), "contact_type": contact_term(F.col("contact_type"))}, F.col("result_id"))
+    pairs = frequency.term_pairs(df, {"residue_id": residue_term(F.col("residue_id")), "contact_type": contact_term(F.col("contact_type"))}, F.col("result_id"), keep=("__near",))
     return frequency.term_frequencies(pairs)
 
 

@@ -18,7 +18,7 @@ def _orderable(kind: T.DataType) -> bool:
     return not isinstance(kind, (T.MapType, T.VariantType))
 
 
-def latest_rows(df: DataFrame, keys: Sequence[str], order: str = "loaded_at", near: Column | None = None) -> DataFrame:
+def latest_rows(df: DataFrame, keys: Sequence[str], order: str = "loaded_at", near: Column | None = None, keep_near: bool = False) -> DataFrame:
     """Keep, for every key, the row with the greatest ``order``; input columns only.
 
     * equal ``order``: the row that sorts last by its remaining columns, so the choice never depends on
@@ -29,7 +29,8 @@ def latest_rows(df: DataFrame, keys: Sequence[str], order: str = "loaded_at", ne
 
     ``near`` is an optional expression of the key (such as ``key div 4096``). Rows are then exchanged by
     it alone, so rows with neighbouring keys stay together and a later step can reduce them before its
-    own exchange. One exchange and one sort; no self-join.
+    own exchange: with ``keep_near`` it comes out as ``__near``, and grouping by it needs no exchange. One
+    exchange and one sort; no self-join.
     """
     names = list(df.columns)
     if order not in names:
@@ -47,7 +48,7 @@ def latest_rows(df: DataFrame, keys: Sequence[str], order: str = "loaded_at", ne
         by = [*by, F.col("__near")]
     w = Window.partitionBy(*by).orderBy(F.col(f"`{order}`").asc_nulls_first(), *[F.col(f"`{c}`").asc_nulls_first() for c in rest])
     flagged = df.withColumn("__last", F.lead(F.lit(1)).over(w).isNull())
-    return flagged.filter(F.col("__last") | any_null).select(*[F.col(f"`{c}`") for c in names])
+    return flagged.filter(F.col("__last") | any_null).select(*[F.col(f"`{c}`") for c in names], *["__near"] * keep_near)
 
 
 def finite(column: Column | str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,20 +33,30 @@ def sequential_rank(df: DataFrame, order: Sequence[Column], name: str = "rank")
     return ranked.withColumn(name, (F.col("__base") + place + 1).cast("long")).drop("__part", "__base", "__at")
 
 
-def competition_rank(df: DataFrame, value: str, name: str, ascending: bool = True) -> DataFrame:
-    """``rank(method="min")`` of ``value`` over all rows: 1 + the rows strictly before; null for null values.
+def competition_ranks(df: DataFrame, ranks: Mapping[str, tuple[Column, bool]]) -> DataFrame:
+    """``df`` with columns ``rank(method="min")``, each of a numeric expression, ascending or not: 1 + the rows strictly before; null for null values.
 
-    Counted over distinct values: equal rows share one line of the exchange however many they are.
+    Counted over distinct values, all rankings in one exchange: equal rows share one line of it however
+    many they are. Prefix sums go by range partitions, so no task sees a whole ranking.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count(F.lit(1)).alias("__n"))
-    order = F.col(value).asc() if ascending else F.col(value).desc()
-    placed = cut(counts.repartitionByRange(order).sortWithinPartitions(order).withColumn("__part", F.spark_partition_id()))
-    sums = placed.groupBy("__part").agg(F.sum("__n").alias("__all"))
-    before = Window.orderBy("__part").partitionBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
-    base = sums.select("__part", F.coalesce(F.sum("__all").over(before), F.lit(0)).alias("__base"))
-    own = Window.partitionBy("__part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    ranks = placed.withColumn("__own", F.coalesce(F.sum("__n").over(own), F.lit(0))).join(F.broadcast(base), "__part").select(value, (F.col("__base") + F.col("__own") + 1).cast("long").alias(name))
-    return df.join(ranks, value, "left").select(*df.columns, name)
+    signed = {name: (value if ascending else -value).cast("double") for name, (value, ascending) in ranks.items()}
+    keyed = df.withColumns({f"__{name}": value + F.lit(0.0) for name, value in signed.items()})
+    values = keyed.select(F.inline(F.array(*[F.struct(F.lit(name).alias("which"), F.col(f"__{name}").alias("v")) for name in ranks]))).filter("v is not null")
+    counts = values.groupBy("which", "v").agg(F.count(F.lit(1)).alias("n"))
+    placed = cut(counts.repartitionByRange("which", "v").withColumn("part", F.spark_partition_id()))
+    before = Window.partitionBy("which").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    base = placed.groupBy("which", "part").agg(F.sum("n").alias("n")).select("which", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    own = F.coalesce(F.sum("n").over(Window.partitionBy("which", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    found = placed.withColumn("own", own).join(F.broadcast(base), ["which", "part"]).select("which", "v", (F.col("base") + F.col("own") + 1).cast("long").alias("rank"))
+    for name in ranks:
+        found_one = found.filter(F.col("which") == name).select(F.col("v").alias(f"__{name}"), F.col("rank").alias(name))
+        keyed = keyed.join(found_one, f"__{name}", "left")
+    return keyed.select(*df.columns, *ranks)
+
+
+def competition_rank(df: DataFrame, value: str, name: str, ascending: bool = True) -> DataFrame:
+    """One ranking; see :func:`competition_ranks`."""
+    return competition_ranks(df, {name: (F.col(value), ascending)})
 
 
 def average_rank(df: DataFrame, value: str, name: str) -> DataFrame:
@@ -84,10 +94,8 @@ def engine_ranks(results: DataFrame, vina: str = "vina_affinity", cnn_score: str
     ``consensus``.
     """
     good = lambda c: F.when(F.col(success), F.col(c))
-    names = {"vina_rank": (vina, True), "cnn_score_rank": (cnn_score, False), "cnn_affinity_rank": (cnn_affinity, True)}
-    out = results
-    for rank, (column, ascending) in names.items():
-        out = competition_rank(out.withColumn("__v", good(column)), "__v", rank, ascending).drop("__v")
+    names = ("vina_rank", "cnn_score_rank", "cnn_affinity_rank")
+    out = competition_ranks(results, {"vina_rank": (good(vina), True), "cnn_score_rank": (good(cnn_score), False), "cnn_affinity_rank": (good(cnn_affinity), True)})
     out = out.withColumn("__mean", mean_of(*names))
     out = competition_rank(out, "__mean", "consensus_rank").drop("__mean")
     primary = {vina: "vina_rank", cnn_score: "cnn_score_rank", cnn_affinity: "cnn_affinity_rank"}.get(rank_by, "consensus_rank")

@@ -19,6 +19,8 @@ from ..session import written
 SHOWN = ("cp1252", "cp1250", "cp1251", "iso8859_2", "mac_roman", "cp437", "cp850", "koi8_r", "cp866", "cp1253", "cp1254")
 MEANT = ("cp1252", "cp1250", "cp1251", "cp1253", "cp1255", "iso8859_2", "iso8859_5", "mac_roman", "cp437", "cp850", "koi8_r", "cp866", "euc_jp", "shift_jis", "gbk", "big5", "euc_kr")
 MULTIBYTE = {"utf_8", "utf_8 twice", "euc_jp", "shift_jis", "gbk", "big5", "euc_kr"}
+#: UTF-8 shown byte by byte, the bytes 80 to 9F left out.
+STRIPPED = ("latin_1", "utf_8")
 #: Buckets of the hashed n-gram counts; it bounds what is gathered and broadcast.
 BUCKETS = 1 << 22
 _RUN = re.compile(r"[^\x00-\x7f]+")
@@ -70,8 +72,8 @@ def _shows(page: str) -> frozenset[str]:
 
 
 def swaps() -> list[tuple[str, str]]:
-    """All (shown, meant) pairs tried; the last is single bytes read as UTF-8."""
-    return [(s, m) for s in SHOWN for m in ("utf_8", "utf_8 twice", *MEANT) if s != m] + [("utf_8", "cp1252")]
+    """All (shown, meant) pairs tried; the last two are single bytes read as UTF-8, and UTF-8 whose high controls were dropped."""
+    return [(s, m) for s in SHOWN for m in ("utf_8", "utf_8 twice", *MEANT) if s != m] + [("utf_8", "cp1252"), STRIPPED]
 
 
 def restore(run: str, shown: str, meant: str) -> str | None:
@@ -164,6 +166,31 @@ class Bigrams:
         self.total = float(counts[_key(1, 1, 1)]) + 1.0
         self.known: dict[str, float] = {}
         self.seen: dict[str, bool] = {}
+        self._forms: dict[str, str] | None = None
+
+    @property
+    def forms(self) -> dict[str, str]:
+        """What is left of a character's UTF-8 without the bytes 80 to 9F, to the most frequent such character."""
+        if self._forms is None:
+            found: dict[str, tuple[float, str]] = {}
+            for point in range(0xA1, 0x3000):
+                n = float(self.n[_key(1, 1, point + 2)])
+                form = "".join(chr(b) for b in chr(point).encode() if not 0x80 <= b < 0xA0)
+                if n >= 20 and n > found.get(form, (0.0, ""))[0]:
+                    found[form] = (n, chr(point))
+            self._forms = {form: char for form, (_, char) in found.items()}
+        return self._forms
+
+    def unstripped(self, run: str) -> str | None:
+        """``run`` read by :attr:`forms`, the longest first; None if a part is no form."""
+        forms, out, at = self.forms, [], 0
+        while at < len(run):
+            size = next((n for n in (3, 2, 1) if run[at : at + n] in forms), 0)
+            if not size:
+                return None
+            out.append(forms[run[at : at + size]])
+            at += size
+        return "".join(out)
 
     def _log(self, three: str) -> float:
         n = self.n
@@ -210,10 +237,13 @@ def candidates(left: str, run: str, right: str, model: Bigrams, pairs) -> list[t
     chars, able = set(run), {}
     for k, (shown, meant) in pairs:
         if shown not in able:
-            able[shown] = shown == "utf_8" or not chars.isdisjoint(_shows(shown))
-        if not able[shown] or (len(run) < 2 and meant in MULTIBYTE):
+            able[shown] = shown in ("utf_8", "latin_1") or not chars.isdisjoint(_shows(shown))
+        if (shown, meant) == STRIPPED:
+            got = model.unstripped(run)
+        elif not able[shown] or (len(run) < 2 and meant in MULTIBYTE):
             continue
-        got = restore(run, shown, meant)
+        else:
+            got = restore(run, shown, meant)
         if got is None:
             continue
         gain = seen.get(got)
@@ -281,7 +311,7 @@ def _language(table: DataFrame) -> np.ndarray:
 def _first_guess(batches):
     """Runs that read as UTF-8 under some page count by half as they stand, and not yet as restored: what the
     language knows must come from elsewhere, or a coincidence would vouch for itself."""
-    utf8 = [p for p in swaps() if p[1] == "utf_8"]
+    utf8 = [p for p in swaps() if p[1] == "utf_8" and p != STRIPPED]
     for batch in batches:
         odd = [len(r) > 1 and any(restore(r, *p) is not None for p in utf8) for r in batch.column("run").to_pylist()]
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([None] * len(odd), pa.string()), pa.array([0.5 if x else 0.0 for x in odd])], [*batch.schema.names, "restored", "belief"])

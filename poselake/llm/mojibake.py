@@ -23,6 +23,8 @@ MULTIBYTE = {"utf_8", "utf_8 twice", "euc_jp", "shift_jis", "gbk", "big5", "euc_
 STRIPPED = ("latin_1", "utf_8")
 #: Buckets of the hashed n-gram counts; it bounds what is gathered and broadcast.
 BUCKETS = 1 << 22
+#: Buckets that aren't empty, and their counts: what is sent around.
+Counts = tuple[np.ndarray, np.ndarray]
 _RUN = re.compile(r"[^\x00-\x7f]+")
 _BACKOFF = 2.0
 
@@ -161,8 +163,10 @@ def ngrams(three: str) -> tuple[int, int, int, int, int]:
 class Bigrams:
     """log P of a character after the two before it, backing off to one and to none; hashed counts."""
 
-    def __init__(self, counts: np.ndarray):
-        self.n = counts
+    def __init__(self, counts: Counts):
+        self.n = np.zeros(BUCKETS, np.float32)
+        self.n[counts[0]] = counts[1]
+        counts = self.n
         self.total = float(counts[_key(1, 1, 1)]) + 1.0
         self.known: dict[str, float] = {}
         self.seen: dict[str, bool] = {}
@@ -278,21 +282,20 @@ def _window_rows(text: str, source: str):
 class Learned:
     """What EM found: language counts, and for every source the weight of every swap (``None``: of all sources)."""
 
-    def __init__(self, counts: np.ndarray, weights: dict[str | None, dict[int, float]]):
+    def __init__(self, counts: Counts, weights: dict[str | None, dict[int, float]]):
         self.counts, self.weights = counts, weights
 
     def prior(self, source: str | None) -> dict[int, float]:
         return self.weights.get(source) or self.weights[None]
 
 
-def _gather(deltas: DataFrame, into: np.ndarray) -> np.ndarray:
+def _gather(deltas: DataFrame) -> Counts:
     """Counts summed over all partitions, at most one number per bucket."""
-    pdf = deltas.groupBy("bucket").agg(F.sum("w").alias("w")).toPandas()  # bounded by BUCKETS
-    into[pdf["bucket"].to_numpy()] += pdf["w"].to_numpy(np.float32)
-    return into
+    pdf = deltas.groupBy("bucket").agg(F.sum("w").alias("w")).filter("w <> 0").toPandas()  # bounded by BUCKETS
+    return pdf["bucket"].to_numpy(np.int32), pdf["w"].to_numpy(np.float32)
 
 
-def _language(table: DataFrame) -> np.ndarray:
+def _language(table: DataFrame) -> Counts:
     """n-gram counts of the windows, each as it stands and as restored by its share of belief."""
 
     def run(batches):
@@ -305,7 +308,7 @@ def _language(table: DataFrame) -> np.ndarray:
                     _count_ngrams(left + restored + right, n * belief, into)
             yield pa.RecordBatch.from_arrays([pa.array(list(into), pa.int64()), pa.array(list(into.values()), pa.float64())], ["bucket", "w"])
 
-    return _gather(table.mapInArrow(run, "bucket bigint, w double"), np.zeros(BUCKETS, np.float32))
+    return _gather(table.mapInArrow(run, "bucket bigint, w double"))
 
 
 def _first_guess(batches):
@@ -329,8 +332,10 @@ def learn(df: DataFrame, text: str = "text", source: str = "source", rounds: int
     """
     schema = "source string, left string, run string, right string, n bigint"
     found = df.select(F.col(text).alias("t"), F.col(source).cast("string").alias("s")).mapInArrow(_window_rows("t", "s"), schema)
-    table = written(found.groupBy("source", "left", "run", "right").agg(F.sum("n").alias("n")))
-    context = table.sparkSession.sparkContext
+    context = df.sparkSession.sparkContext
+    # Few bytes but much work a row: one part for every core and more, not as many as the bytes ask for. A window's
+    # sources meet in one part, which weighs it once.
+    table = written(found.groupBy("source", "left", "run", "right").agg(F.sum("n").alias("n")).repartition(3 * context.defaultParallelism, "left", "run", "right"))
     full = schema + ", restored string, belief double"
     counts = _language(table.mapInArrow(_first_guess, full))
     every = len(swaps())
@@ -338,6 +343,7 @@ def learn(df: DataFrame, text: str = "text", source: str = "source", rounds: int
     for _ in range(rounds):
         shared = context.broadcast((counts, weights))
         scored = written(table.mapInArrow(_expect(shared), full + ", swap int, fits array<int>"))
+        shared.destroy()
         counts = _language(scored)
         named = scored.select("source").distinct().orderBy("source").limit(sources)
         scored = scored.join(F.broadcast(named.withColumn("own", F.lit(True))), "source", "left").withColumn("source", F.when(F.col("own"), F.col("source")))
@@ -366,13 +372,18 @@ def _odds(weight: float) -> float:
 def _expect(shared):
     def run(batches):
         counts, weights = shared.value
-        model, pairs = Bigrams(counts), swaps()
+        model, pairs, weighed = Bigrams(counts), swaps(), {}
+        general = [(k, pairs[k]) for k in weights[None]]
         for batch in batches:
             restored, belief, swap, fits = [], [], [], []
             for s, left, r, right in zip(*(batch.column(c).to_pylist() for c in ("source", "left", "run", "right"))):
                 prior = weights.get(s) or weights[None]
                 best, odds = (None, None), 0.0
-                able = candidates(left, r, right, model, [(k, pairs[k]) for k in prior])
+                able = weighed.get((left, r, right))
+                if able is None:
+                    if len(weighed) > 200_000:
+                        weighed.clear()
+                    able = weighed[left, r, right] = candidates(left, r, right, model, general)
                 fits.append([k for k, _, _ in able])
                 for k, got, gain in able:
                     o = _odds(prior[k]) * math.exp(min(gain, 600))

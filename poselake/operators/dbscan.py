@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
-from .components import connected_components
+from ..session import written
 from .geometry import spatial_join
+from .linking import cubes, link_blocks
 
 
 def pairwise_rmsd(coords: np.ndarray) -> np.ndarray:
@@ -68,15 +70,27 @@ def dbscan_positions(points: DataFrame, key: str, eps: float = 2.0, least: int =
     """(on..., key, cluster, is_core): DBSCAN of x, y, z in the whole table (or within ``on``), distributed.
 
     The cluster is the smallest key of its cores, null for noise; a border point goes to the cluster of the
-    smallest such number. Neighbourhoods, the point itself included, come from a grid join; cores are joined by distributed
-    connected components. Points without three finite coordinates are left out.
+    smallest such number. Points without three finite coordinates, and with a null in ``on``, are left out.
+
+    Equal positions are one node with a weight. Nodes in grid cells narrower than ``eps`` that hold ``least``
+    points are cores without any pair; pairs are made for the rest only, fewer than ``least`` a cell, against
+    what is near them. Cores are linked exactly, block by block (see linking).
     """
-    ok = points.dropna(subset=["x", "y", "z"]).filter("abs(x) != double('inf') and abs(y) != double('inf') and abs(z) != double('inf')").select(*on, key, "x", "y", "z")
-    pairs = cut(spatial_join(ok, ok, eps, True, on).select(*on, key, F.col(f"r_{key}").alias("other")))
-    cores = cut(pairs.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least).select(key))
-    inner = pairs.join(cores, key, "left_semi").join(cores.select(F.col(key).alias("other")), "other", "left_semi")
-    parts = connected_components(inner.select(F.col(key).alias("u"), F.col("other").alias("v"))).withColumnRenamed("node", "other")
-    reached = pairs.join(parts, "other").groupBy(key).agg(F.min("component").alias("cluster"))
-    own = parts.select(F.col("other").alias(key), F.col("component").alias("__own"))
-    out = ok.select(*on, key).join(reached, key, "left").join(own, key, "left")
-    return out.select(*on, key, F.coalesce("__own", "cluster").alias("cluster"), F.col("__own").isNotNull().alias("is_core"))
+    finite = " and ".join(f"abs({c}) != double('inf')" for c in "xyz")
+    rows = points.dropna(subset=["x", "y", "z", *on]).filter(finite).select(*on, key, *[(F.col(c) + F.lit(0.0)).alias(c) for c in "xyz"])
+    name = F.to_json(F.struct(*on)) if on else F.lit("")
+    rows = written(rows.withColumn("name", name))
+    side = eps / math.sqrt(3) * (1 - 1e-9)
+    cell = {f"c{c}": F.floor(F.col(c) / side) for c in "xyz"}
+    nodes = rows.groupBy("name", "x", "y", "z").agg(F.min(key).alias("node"), F.count(F.lit(1)).alias("n")).withColumns(cell)
+    full = nodes.groupBy("name", *cell).agg(F.sum("n").alias("in_cell"))
+    nodes = written(nodes.join(full, ["name", *cell]).select("name", "node", "n", "x", "y", "z", (F.col("in_cell") >= least).alias("dense")))
+    sparse = nodes.filter(~F.col("dense"))
+    near = written(spatial_join(sparse, nodes, eps, True, ("name",)).select("name", "node", F.col("r_node").alias("other"), F.col("r_n").alias("other_n")))
+    more = near.groupBy("name", "node").agg(F.sum("other_n").alias("around")).filter(F.col("around") >= least).select("name", "node")
+    core = written(nodes.filter("dense").select("name", "node", "x", "y", "z").unionByName(sparse.join(more, ["name", "node"], "left_semi").select("name", "node", "x", "y", "z")))
+    labels = written(link_blocks(cubes(core, eps), eps, ("bx", "by", "bz")))
+    border = near.join(labels.select("name", F.col("node").alias("other"), "first"), ["name", "other"]).groupBy("name", "node").agg(F.min("first").alias("reached"))
+    found = nodes.join(labels, ["name", "node"], "left").join(border, ["name", "node"], "left")
+    found = found.select("name", "x", "y", "z", F.coalesce("first", "reached").alias("cluster"), F.col("first").isNotNull().alias("is_core"))
+    return rows.join(found, ["name", "x", "y", "z"]).select(*on, key, "cluster", "is_core")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -51,8 +52,30 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def written(df: DataFrame) -> DataFrame:
-    """Like :func:`cut`, but as columnar Parquet: smaller, and readers prune columns."""
+    """Like :func:`cut`, but as columnar Parquet: smaller, and readers prune columns.
+
+    The folder stays while the driver's Python runs, as plans made from the result may read it at any time; it is
+    removed when Python ends.
+    """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/poselake-{uuid.uuid4().hex}"
+    _written.append((spark, path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_written: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def _remove_written() -> None:
+    for spark, path in _written:
+        try:
+            if path.startswith(("/", "file:")):
+                shutil.rmtree(re.sub("^file:(//)?", "", path), ignore_errors=True)
+            else:
+                target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+                target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        except Exception:  # the session has ended; the cluster clears its checkpoint folder
+            pass
+    _written.clear()

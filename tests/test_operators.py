@@ -3,10 +3,12 @@ import random
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from poselake.functions import classify, residues
-from poselake.operators import components, consensus, contacts, dbscan, export, footprint, fragments, geometry, latest, ranking, regression
+from poselake.operators import components, consensus, contacts, dbscan, export, footprint, fragments, geometry, latest, linking, ranking, regression
 from poselake.streaming import rerank
 
 NAN, INF = float("nan"), float("inf")
@@ -220,6 +222,39 @@ def test_dbscan(spark):
     assert all((glob[i] is None) == (want[i] < 0) for i in range(len(p))) and len({glob[i] for i in range(6)} - {None}) == 1 and 77 not in glob
 
 
+def test_dbscan_positions_against_brute_force(spark):
+    rng = np.random.default_rng(8)
+    p = np.round(np.concatenate([rng.uniform(-40, 40, (150, 3)), rng.normal(0, 3, (150, 3)), np.zeros((30, 3))]), 2)
+    df = spark.createDataFrame([(i, "a", *map(float, x)) for i, x in enumerate(p)] + [(900 + i, "b", *map(float, x)) for i, x in enumerate(p[:50])] + [(2000, None, 0.0, 0.0, 0.0), (2001, "a", NAN, 0.0, 0.0)], "id int, s string, x double, y double, z double")
+    got = {r.id: r for r in dbscan.dbscan_positions(df, "id", 2.0, 4, ("s",)).collect()}
+    for ids, q in ((list(range(330)), p), (list(range(900, 950)), p[:50])):
+        near = ((q[:, None] - q[None]) ** 2).sum(2) <= 4
+        core = near.sum(1) >= 4
+        label = np.where(core, ids, 10**6)
+        while True:
+            new = np.where(core, [min(label[n & core]) if c else 10**6 for n, c in zip(near, core)], 10**6)
+            if (new == label).all():
+                break
+            label = new
+        for k, i in enumerate(ids):
+            around = [int(label[j]) for j in np.flatnonzero(near[k] & core)]
+            assert got[i].is_core == bool(core[k]) and got[i].cluster == (int(label[k]) if core[k] else min(around, default=None))
+    assert 2000 not in got and 2001 not in got
+
+
+@given(st.integers(0, 10_000), st.sampled_from([30, 2_000_000]))
+@settings(max_examples=25, deadline=None)
+def test_link_positions(seed, chunk):
+    rng = np.random.default_rng(seed)
+    p = np.round(rng.uniform(0, 9, (70, 3)), 2)
+    near = ((p[:, None] - p[None]) ** 2).sum(2) <= 1.5**2 + 1e-9
+    b = np.arange(len(p))
+    while (b != (b := np.array([b[n].min() for n in near]))).any():
+        pass
+    a = linking.link_positions(p, 1.5, chunk)
+    assert len(set(zip(a.tolist(), b.tolist()))) == len(set(a.tolist())) == len(set(b.tolist()))
+
+
 def test_components_against_union_find(spark, rows):
     rnd = random.Random(2)
     edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 440)] + [(500, 500), (None, 1)]

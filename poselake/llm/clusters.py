@@ -7,8 +7,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.components import connected_components
-from ..session import cut, written
+from ..operators.linking import link_blocks
+from ..session import written
 
 #: Vectors compared with all centres at once.
 ROWS = 2048
@@ -185,16 +185,9 @@ def near_groups(df: DataFrame, space: list[str], key: str, xyz: tuple[str, str,
         k = max(1, min(most, -(-nodes.count() // per_cell)))
     centres = kmeans_centres(nodes, k)
     shared = df.sparkSession.sparkContext.broadcast(centres)
-    space_type = nodes.schema["space"].dataType.simpleString()
-    node_type = nodes.schema["node"].dataType.simpleString()
-    blocks = nodes.withColumn("name", F.to_json("space")).select("name", "node", "x", "y", "z", "vector").mapInArrow(_blocks(shared, reach), f"cell bigint, name string, node {node_type}, x double, y double, z double")
-    local = blocks.repartition("cell", "name").sortWithinPartitions("cell", "name").mapInArrow(_link(reach), f"name string, node {node_type}, root {node_type}")
-    roots = written(local.groupBy("name", "node").agg(F.min("root").alias("least"), F.collect_set("root").alias("roots")))  # a set is bounded by the node's blocks
-    ties = roots.filter(F.size("roots") > 1).select("name", "least", F.explode("roots").alias("root")).filter("root <> least")
-    pair = lambda c: F.struct("name", F.col(c).alias("node"))
-    joined = connected_components(ties.select(pair("least").alias("u"), pair("root").alias("v")))
-    joined = joined.select(F.col("node.name").alias("name"), F.col("node.node").alias("least"), F.col("component.node").alias("first"))
-    labels = roots.select("name", "node", "least").join(joined, ["name", "least"], "left").select("name", "node", F.coalesce("first", "least").alias("first_id"))
+    kind = nodes.schema["node"].dataType.simpleString()
+    blocks = nodes.withColumn("name", F.to_json("space")).select("name", "node", "x", "y", "z", "vector").mapInArrow(_blocks(shared, reach), f"block bigint, name string, node {kind}, x double, y double, z double")
+    labels = link_blocks(blocks, reach, ("block",)).withColumnRenamed("first", "first_id")
     placed = nodes.withColumn("name", F.to_json("space")).select("name", "node", "space", "x", "y", "z").join(labels, ["name", "node"]).drop("name", "node")
     out = rows.join(placed, [rows.space.eqNullSafe(placed.space), rows.x == placed.x, rows.y == placed.y, rows.z == placed.z])
     return out.select(*[rows.space[s].alias(s) for s in space], F.col("key").alias(key), "first_id")
@@ -219,111 +212,11 @@ def _blocks(shared, reach: float):
                 at += [np.arange(a, a + len(d)), a + i]
                 cell += [home, j]
             take = pa.array(np.concatenate(at))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cell)), *[batch.column(c).take(take) for c in ("name", "node", "x", "y", "z")]], ["cell", "name", "node", "x", "y", "z"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cell)), *[batch.column(c).take(take) for c in ("name", "node", "x", "y", "z")]], ["block", "name", "node", "x", "y", "z"])
 
     return run
 
 
-def _link(reach: float):
-    def run(batches):
-        held: list[pa.RecordBatch] = []
-        group = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            cell, name = batch.column("cell").to_numpy(), batch.column("name").dictionary_encode().indices.to_numpy()
-            cuts = np.r_[0, np.flatnonzero((cell[1:] != cell[:-1]) | (name[1:] != name[:-1])) + 1, len(cell)]
-            for a, b in zip(cuts[:-1], cuts[1:]):
-                part = batch.slice(a, b - a)
-                own = (part.column("cell")[0].as_py(), part.column("name")[0].as_py())
-                if group is not None and own != group:
-                    yield _linked(held, reach)
-                    held = []
-                group = own
-                held.append(part)
-        if held:
-            yield _linked(held, reach)
-
-    return run
-
-
-def _linked(parts: list[pa.RecordBatch], reach: float) -> pa.RecordBatch:
-    table = pa.Table.from_batches(parts).combine_chunks()
-    xyz = np.stack([table.column(c).to_numpy() for c in ("x", "y", "z")], 1)
-    label = link_positions(xyz, reach)
-    node = table.column("node").combine_chunks()
-    order = np.argsort(node.to_numpy(zero_copy_only=False), kind="stable")
-    first = np.full(label.max() + 1, -1, np.int64)
-    first[label[order[::-1]]] = order[::-1]  # the last written is the smallest node
-    return pa.RecordBatch.from_arrays([table.column("name").combine_chunks(), node, node.take(pa.array(first[label]))], ["name", "node", "root"])
-
-
-def link_positions(xyz: np.ndarray, reach: float, chunk: int = 2_000_000) -> np.ndarray:
-    """Component number of each position, two being joined if at most ``reach`` apart (to within 1e-9)."""
-    side = reach / np.sqrt(3) * (1 - 1e-9)  # any two in one grid cell are near enough
-    grid = np.floor((xyz - xyz.min(0)) / side).astype(np.int64)
-    size = grid.max(0) + 5
-    code = ((grid[:, 0] + 2) * size[1] + grid[:, 1] + 2) * size[2] + grid[:, 2] + 2
-    order = np.argsort(code, kind="stable")
-    cells, start, count = np.unique(code[order], return_index=True, return_counts=True)
-    points = xyz[order]
-    label = np.arange(len(cells))
-    limit = reach * reach + 1e-9
-    offsets = [(i, j, k) for i in range(-2, 3) for j in range(-2, 3) for k in range(-2, 3) if (i, j, k) > (0, 0, 0)]
-    for i, j, k in sorted(offsets, key=lambda o: sum(x * x for x in o)):
-        other = np.searchsorted(cells, near := cells + (i * size[1] + j) * size[2] + k)
-        a = np.flatnonzero((other < len(cells)) & (cells[np.minimum(other, len(cells) - 1)] == near))
-        b = other[a]
-        open_ = label[a] != label[b]
-        a, b = a[open_], b[open_]
-        work = np.cumsum(count[a] * count[b])
-        lo, hits = 0, []
-        while lo < len(a):
-            hi = max(lo + 1, int(np.searchsorted(work, (work[lo - 1] if lo else 0) + chunk, side="right")))
-            hits.append(lo + _touching(points, start, count, a[lo:hi], b[lo:hi], limit, chunk))
-            lo = hi
-        if hits and len(hit := np.concatenate(hits)):
-            label = _join(label, a[hit], b[hit])
-    out = np.empty(len(xyz), np.int64)
-    out[order] = np.repeat(label, count)
-    return out
-
-
-def _touching(points, start, count, a, b, limit, chunk) -> np.ndarray:
-    """Which pairs of grid cells have two positions near enough."""
-    if len(a) == 1 and count[a[0]] * count[b[0]] > chunk:
-        right = points[start[b[0]] : start[b[0]] + count[b[0]]]
-        step = max(1, chunk // len(right))
-        for lo in range(start[a[0]], start[a[0]] + count[a[0]], step):
-            left = points[lo : min(lo + step, start[a[0]] + count[a[0]])]
-            if (((left[:, None, :] - right[None, :, :]) ** 2).sum(2) <= limit).any():
-                return np.array([0])
-        return np.empty(0, np.int64)
-    n = count[a] * count[b]
-    pair = np.repeat(np.arange(len(a)), n)
-    place = np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n)
-    left = start[a][pair] + place // count[b][pair]
-    right = start[b][pair] + place % count[b][pair]
-    close = ((points[left] - points[right]) ** 2).sum(1) <= limit
-    return np.unique(pair[close])
-
-
-def _join(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Labels after joining cells a[i] and b[i]: the least label of each component."""
-    parent = np.arange(len(label))
-    x, y = label[a], label[b]
-    while True:
-        low, high = np.minimum(x, y), np.maximum(x, y)
-        np.minimum.at(parent, high, low)
-        while (up := parent[parent] != parent).any():
-            parent[up] = parent[parent[up]]
-        x, y = parent[x], parent[y]
-        if (x == y).all():
-            return parent[label]
-        keep = x != y
-        x, y = x[keep], y[keep]
-
-
 def typical_members(groups: DataFrame, rows: DataFrame, space: list[str], key: str, xyz: tuple[str, str, str], typical: int = 3) -> DataFrame:
     """(space..., first_id, n_members, radius, typical): size of each group and its members nearest the mean."""
     by = [*space, "first_id"]

@@ -163,15 +163,6 @@ def test_near_groups_against_brute_force(spark):
     assert clusters.near_groups(df.limit(0), ["space"], "id", ("x", "y", "z")).count() == 0
 
 
-@given(st.integers(0, 10_000), st.sampled_from([30, 2_000_000]))
-@settings(max_examples=25, deadline=None)
-def test_link_positions(seed, chunk):
-    rng = np.random.default_rng(seed)
-    p = np.round(rng.uniform(0, 9, (70, 3)), 2)
-    a, b = clusters.link_positions(p, 1.5, chunk), _chains(p, 1.5)
-    assert len(set(zip(a.tolist(), b.tolist()))) == len(set(a.tolist())) == len(set(b.tolist()))
-
-
 def test_kmeans_finds_separate_blobs(spark):
     rng = np.random.default_rng(7)
     p = np.concatenate([rng.normal(c, 0.2, (60, 3)) for c in ((0, 0, 0), (20, 0, 0), (0, 20, 0))])

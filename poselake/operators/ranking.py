@@ -146,4 +146,4 @@ def lowest(df: DataFrame, column: str, k: int, ties: Sequence[str] = (), largest
 
 def top_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column], k: int, into: str = "place") -> DataFrame:
     """The first k rows of each group; Spark ends a group after k rows before the exchange, too."""
-    return df.withColumn(into, F.row_number().over(Window.partitionBy(*group).orderBy(*order))).filter(F.col(into) <= k)
+    return df.withColumn(into, F.row_number().over(Window.partitionBy(*group).orderBy(*order))).filter(F.col(into) <= k).withColumn(into, F.col(into).cast("long"))

@@ -199,6 +199,9 @@ class Bigrams:
     def _log(self, three: str) -> float:
         n = self.n
         whole, two_before, two, one_before, one = (float(n[k]) for k in ngrams(three))
+        # A character seen in its other case only is rare rather than unheard of.
+        other = three[2].swapcase()
+        one += 0.05 * float(n[_key(1, 1, ord(other) + 2)]) if len(other) == 1 else 0.0
         p = (one + 0.05) / self.total
         p = (two + _BACKOFF * p) / (one_before + _BACKOFF)
         if len(self.known) > 1_000_000:
@@ -215,9 +218,11 @@ class Bigrams:
         return out
 
     def knows(self, char: str) -> bool:
+        """Whether the character, in either case, occurs in text believed clean."""
         got = self.seen.get(char)
         if got is None:
-            got = self.seen[char] = bool(self.n[_key(1, 1, ord(char) + 2)] >= 1)
+            forms = {c for c in (char, char.lower(), char.upper()) if len(c) == 1}
+            got = self.seen[char] = any(self.n[_key(1, 1, ord(c) + 2)] >= 1 for c in forms)
         return got
 
 
@@ -338,8 +343,7 @@ def learn(df: DataFrame, text: str = "text", source: str = "source", rounds: int
     table = written(found.groupBy("source", "left", "run", "right").agg(F.sum("n").alias("n")).repartition(3 * context.defaultParallelism, "left", "run", "right"))
     full = schema + ", restored string, belief double"
     counts = _language(table.mapInArrow(_first_guess, full))
-    every = len(swaps())
-    weights: dict[str | None, dict[int, float]] = {None: {k: 0.02 / every for k in range(every)}}
+    weights: dict[str | None, dict[int, float]] = {None: {k: 0.5 if p[1].startswith("utf_8") and p != STRIPPED else 1e-4 for k, p in enumerate(swaps())}}
     for _ in range(rounds):
         shared = context.broadcast((counts, weights))
         scored = written(table.mapInArrow(_expect(shared), full + ", swap int, fits array<int>"))

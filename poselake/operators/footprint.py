@@ -59,7 +59,7 @@ def residue_consensus(df: DataFrame, cutoff: float = -0.5) -> DataFrame:
     """
     ok = _known(df)
     n_all = ok.agg(F.countDistinct("name").alias("n_all"))
-    first = F.min_by(F.struct("ref_vdw", "ref_es"), F.struct("name", "pose_id", "total"))
+    first = F.min_by(F.struct("ref_vdw", "ref_es"), F.struct("name", "pose_id", "total", "ref_vdw", "ref_es"))
     per = ok.groupBy("residue_id").agg(
         F.countDistinct("name").alias("n_molecules"), F.countDistinct(F.when(F.col("total") < cutoff, F.col("name"))).alias("n_contributing"),
         F.avg("vdw").alias("mean_vdw"), F.avg("es").alias("mean_es"), F.avg("total").alias("mean_total"), F.coalesce(F.stddev_samp("total"), F.lit(0.0)).alias("std_total"),

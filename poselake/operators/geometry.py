@@ -85,7 +85,10 @@ def within_radius(atoms: DataFrame, centre: tuple[float, float, float], radius:
 
 
 def pose_pairs(poses: DataFrame, by: str = "name", pose: str = "pose_index", coords: str = "coords") -> DataFrame:
-    """(by, pose_a, pose_b, rmsd) of the pairs pose_a < pose_b of one molecule; atom counts that differ give null."""
+    """(by, pose_a, pose_b, rmsd) of the pairs pose_a < pose_b of one molecule; atom counts that differ give null.
+
+    The full matrix is the result: poses of one molecule are some hundreds at most, as docking engines write them.
+    """
     a, b = poses.select(by, F.col(pose).alias("pose_a"), F.col(coords).alias("__a")), poses.select(by, F.col(pose).alias("pose_b"), F.col(coords).alias("__b"))
     return a.join(b, by).filter("pose_a < pose_b").select(by, "pose_a", "pose_b", rmsd(F.col("__a"), F.col("__b")).alias("rmsd"))
 

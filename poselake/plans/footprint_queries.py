@@ -81,13 +81,13 @@ def residue_mapping(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = [footprint_summary, footprint_best_pose, residue_consistency, weighted_consistency, residue_consensus, pharmacophore_residues, reference_deltas, residue_importance, contact_vs_footprint, zone_contacts, zone_energies, residue_mapping]
 
 _F = """f AS (SELECT l_suppkey AS name, CAST(l_orderkey % 16 AS INT) AS pose_id, p_brand AS residue_id, (round(l_discount * 20 - 1.5, 4) + 0.0) AS vdw, (round(l_tax * 30 - l_quantity / 20, 4) + 0.0) AS es,
- round((round(l_discount * 20 - 1.5, 4) + 0.0) + (round(l_tax * 30 - l_quantity / 20, 4) + 0.0), 4) + 0.0 AS total, p_size / -50.0 AS ref_vdw, -0.25 AS ref_es, p_size / -50.0 - 0.25 AS ref_total FROM lineitem JOIN part ON l_partkey = p_partkey)"""
+ round((round(l_discount * 20 - 1.5, 4) + 0.0) + (round(l_tax * 30 - l_quantity / 20, 4) + 0.0), 4) + 0.0 AS total, p_size / -50.0 AS ref_vdw, CAST(-0.25 AS DOUBLE) AS ref_es, p_size / -50.0 - 0.25 AS ref_total FROM lineitem JOIN part ON l_partkey = p_partkey)"""
 _CONSISTENT = _F + """, n AS (SELECT name, count(DISTINCT pose_id) AS n_poses FROM f GROUP BY 1 HAVING count(DISTINCT pose_id) >= 2),
 c AS (SELECT name, residue_id, avg(total) AS mean_total, stddev_pop(total) AS std_total, min(total) AS min_total, max(total) AS max_total, avg(vdw) AS mean_vdw, avg(es) AS mean_es,
  count(*) FILTER (total < 0) AS n_favorable, any_value(n_poses) AS n_poses, count(*) FILTER (total < 0) / any_value(n_poses) AS consistency FROM f JOIN n USING (name) GROUP BY 1, 2)"""
 _CONSENSUS = _F + """, a AS (SELECT count(DISTINCT name) AS n_all FROM f),
 c AS (SELECT residue_id, count(DISTINCT name) AS n_molecules, count(DISTINCT CASE WHEN total < {cutoff} THEN name END) AS n_contributing, avg(vdw) AS mean_vdw, avg(es) AS mean_es, avg(total) AS mean_total,
- coalesce(stddev_samp(total), 0) AS std_total, min(total) AS min_total, max(total) AS max_total, arg_min(ref_vdw, row(name, pose_id, total)) AS ref_vdw, min(ref_es) AS ref_es FROM f GROUP BY 1)"""
+ coalesce(stddev_samp(total), 0) AS std_total, min(total) AS min_total, max(total) AS max_total, arg_min(ref_vdw, row(name, pose_id, total, ref_vdw)) AS ref_vdw, min(ref_es) AS ref_es FROM f GROUP BY 1)"""
 _CONTACTS = f"""k AS ({LATEST_OK("residue_contacts", ["contact_id"])}), q AS ({LATEST_OK("fragment_contact_results", ["result_id"])}),
 c AS (SELECT *, trim(regexp_replace(upper(residue_id), '[\\s :/_.\\-,;|]+', ' ', 'g')) AS flat, nullif(regexp_replace(regexp_replace(lower(contact_type), '[^\\p{{L}}\\p{{N}}]+', '_', 'g'), '^_+|_+$', '', 'g'), '') AS kind FROM k),
 t AS (SELECT CASE WHEN flat = '' THEN NULL WHEN regexp_matches(flat, '^[A-Z]+ ?0*[0-9]+ ?[A-Z]$') THEN regexp_replace(flat, '^([A-Z]+) ?0*([0-9]+) ?([A-Z])$', '\\1\\2.\\3')
@@ -112,6 +112,6 @@ SELECT *, CASE WHEN min_distance <= 4.5 AND total IS NULL THEN 'contact_only' WH
     "zone_contacts": f"WITH {_CONTACTS} SELECT coalesce(zone_label, 'other') AS zone, count(DISTINCT residue) AS n_residues, count(DISTINCT molecule_name) AS n_molecules, count(*) AS n_contacts, count(*) FILTER (druglike) AS n_druglike FROM m LEFT JOIN receptor_residues x ON m.residue = x.residue_id GROUP BY 1",
     "zone_energies": f"""WITH {_CONTACTS}, g AS (SELECT residue, count(DISTINCT molecule_name) AS n, round(avg(min_distance), 9) AS d FROM m GROUP BY 1),
 z AS (SELECT coalesce(zone_label, 'other') AS zone_label, residue, n, d, row_number() OVER (PARTITION BY coalesce(zone_label, 'other') ORDER BY -d NULLS FIRST, residue) AS k FROM g LEFT JOIN receptor_residues x ON residue = x.residue_id)
-SELECT zone_label, count(*) AS n_residues, round(sum(-d), 9) AS sum_total, CAST(sum(n) AS DOUBLE) AS sum_vdw, 0.0 AS sum_es, string_agg(CASE WHEN k <= 5 THEN residue END, ',' ORDER BY k) AS strongest FROM z GROUP BY 1""",
+SELECT zone_label, count(*) AS n_residues, round(sum(-d), 9) AS sum_total, CAST(sum(n) AS DOUBLE) AS sum_vdw, CAST(0 AS DOUBLE) AS sum_es, string_agg(CASE WHEN k <= 5 THEN residue END, ',' ORDER BY k) AS strongest FROM z GROUP BY 1""",
     "residue_mapping": "SELECT ordinal AS seq_id, residue_name || residue_number || '.' || chain AS residue_id FROM receptor_residues",
 }

@@ -27,7 +27,7 @@ def _receptor(spark: SparkSession, sf: str) -> DataFrame:
 
 def _conformations(spark: SparkSession, sf: str) -> DataFrame:
     """(name, pose_index, score, coords): vectors read as conformations of 21 atoms."""
-    v = T.raw(spark, sf, "embeddings", "vec_id", "embedding", "label").filter("vec_id < 4000")
+    v = T.raw(spark, sf, "embeddings", "vec_id", "embedding", "label")
     atoms = F.transform(F.sequence(F.lit(0), F.lit(ATOMS - 1)), lambda i: F.transform(F.slice("embedding", i * 3 + 1, F.lit(3)), lambda x: x.cast("double")))
     return v.select(F.col("label").alias("name"), F.col("vec_id").alias("pose_index"), F.get("embedding", 63).cast("double").alias("score"), atoms.alias("coords"))
 
@@ -93,7 +93,7 @@ QUERIES = [distance_contacts, receptor_atom_contacts, binding_box, campaign_cent
 
 _C = f"l AS ({LATEST_OK('fragment_centroids', ['centroid_id'])}), c AS (SELECT centroid_id, campaign_id, molecule_name, centroid[1] AS x, centroid[2] AS y, centroid[3] AS z FROM l WHERE len(centroid) = 3 AND isfinite(centroid[1]) AND isfinite(centroid[2]) AND isfinite(centroid[3]))"
 _D2 = "(x - ca_x) ** 2 + (y - ca_y) ** 2 + (z - ca_z) ** 2"
-_V = "v AS (SELECT label AS name, vec_id AS pose_index, CAST(embedding[64] AS DOUBLE) AS score, list_transform(embedding[1:63], lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings WHERE vec_id < 4000)"
+_V = "v AS (SELECT label AS name, vec_id AS pose_index, CAST(embedding[64] AS DOUBLE) AS score, list_transform(embedding[1:63], lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings)"
 _PAIRS = _V + ", p AS (SELECT a.name, a.pose_index AS pose_a, b.pose_index AS pose_b, sqrt(list_sum(list_transform(list_zip(a.e, b.e), lambda t: (t[1] - t[2]) ** 2)) / 21) AS rmsd FROM v a JOIN v b ON a.name = b.name AND a.pose_index < b.pose_index), s AS (SELECT name, pose_a AS pose_index, rmsd FROM p UNION ALL SELECT name, pose_b, rmsd FROM p)"
 SQL = {
     "distance_contacts": f"""WITH {_C}, p AS (SELECT molecule_name, residue_id, {_D2} AS d2 FROM c, receptor_residues WHERE {_D2} <= 4.5 * 4.5),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.classify import contact_energy_class
+from ..session import written
 from .ranking import top_per_group
 
 
@@ -44,6 +45,14 @@ def top_residues(contacts: DataFrame, k: int, molecule: str = "molecule_name", r
     return [r[residue] for r in rows]
 
 
+def heat_rows(contacts: DataFrame, k: int = 20, molecule: str = "molecule_name", residue: str = "residue") -> DataFrame:
+    """(place, residue, molecule, min_distance): the heat map of the k residues that most molecules touch, as long rows; ``place`` starts at 1."""
+    per = written(contacts.groupBy(residue, molecule).agg(F.min("min_distance").alias("min_distance")))  # read twice
+    top = per.groupBy(residue).agg(F.count(molecule).alias("n")).orderBy(F.desc("n"), residue).limit(k)
+    places = top.withColumn("place", F.row_number().over(Window.orderBy(F.desc("n"), residue))).drop("n")  # k rows
+    return per.join(F.broadcast(places), residue).select("place", residue, molecule, "min_distance")
+
+
 def nearest_residues(contacts: DataFrame, by: Sequence[str], k: int = 3, residue: str = "residue") -> DataFrame:
     """The k nearest residues of each fragment, one row for a residue."""
     per = contacts.groupBy(*by, residue).agg(F.min("min_distance").alias("min_distance"))

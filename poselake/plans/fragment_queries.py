@@ -120,10 +120,16 @@ def contact_votes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def contact_heat_map(spark: SparkSession, sf: str) -> DataFrame:
+    """The five residues of HEAT as columns, as its SQL names them; contact_heat_top takes the residues from the data."""
     out = K.heat_map(T.molecule_contacts(spark, sf), HEAT)
     return out.withColumnsRenamed({c: c.replace(".", "_") for c in HEAT})
 
 
+def contact_heat_top(spark: SparkSession, sf: str) -> DataFrame:
+    """The heat map over the 20 residues of the data that most molecules touch, one row for a residue and molecule."""
+    return K.heat_rows(T.molecule_contacts(spark, sf), 20)
+
+
 def nearest_residues(spark: SparkSession, sf: str) -> DataFrame:
     return K.nearest_residues(T.molecule_contacts(spark, sf), ["molecule_name", "fragment_id"], 3)
 
@@ -154,7 +160,7 @@ def top_fragments(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = [
     cluster_score_stats, dominant_clusters, sweet_spots, full_consensus_poses, fragment_energies, ols_fits, ols_decomposition, convergence, composite_ranking, hotspot_stats, pose_medoids,
-    contact_consensus, contact_votes, contact_heat_map, nearest_residues, hit_export, missing_originals, poses_per_source, top_fragments,
+    contact_consensus, contact_votes, contact_heat_map, contact_heat_top, nearest_residues, hit_export, missing_originals, poses_per_source, top_fragments,
 ]
 
 _L = "l AS (SELECT l_suppkey AS name, l_linenumber % 4 AS fragment_id, l_orderkey % 40 AS pose_index, CAST(sum(l_partkey) % 4 - 1 AS INT) AS cluster FROM lineitem GROUP BY 1, 2, 3), s AS (SELECT l_suppkey AS name, l_orderkey % 40 AS pose_index, -min(l_extendedprice) AS value FROM lineitem GROUP BY 1, 2)"
@@ -203,6 +209,8 @@ o AS (SELECT fragment_label, residue, contact_type, count(*) AS n FROM m WHERE c
 a AS (SELECT fragment_label, residue, count(DISTINCT molecule_name) AS n_molecules, round(avg(min_distance), 9) AS mean_distance, min(min_distance) AS min_distance FROM m WHERE fragment_label IS NOT NULL GROUP BY 1, 2)
 SELECT a.*, dominant_type, round(n_molecules / n_group, 9) AS frac_molecules FROM a JOIN g USING (fragment_label) LEFT JOIN y USING (fragment_label, residue)""",
     "contact_heat_map": f"WITH {_CONTACTS} SELECT molecule_name, " + ", ".join(f"min(min_distance) FILTER (residue = '{c}') AS {c.replace('.', '_')}" for c in HEAT) + f" FROM m WHERE residue IN {HEAT} GROUP BY 1",
+    "contact_heat_top": f"""WITH {_CONTACTS}, top AS (SELECT residue, row_number() OVER (ORDER BY count(DISTINCT molecule_name) DESC, residue) AS place FROM m GROUP BY 1 QUALIFY place <= 20)
+SELECT place, residue, molecule_name, min(min_distance) AS min_distance FROM m JOIN top USING (residue) GROUP BY 1, 2, 3""",
     "nearest_residues": f"WITH {_CONTACTS}, a AS (SELECT molecule_name, fragment_id, residue, min(min_distance) AS min_distance FROM m GROUP BY 1, 2, 3) SELECT *, row_number() OVER (PARTITION BY molecule_name, fragment_id ORDER BY min_distance NULLS LAST, residue) AS place FROM a QUALIFY place <= 3",
     "hit_export": _MERGED + f""", o AS ({_MOL}), c AS (SELECT name FROM m WHERE n_lists >= 2 AND NOT starts_with(name, 'REF_')), k AS (SELECT name, smiles, source_file FROM o WHERE smiles_duplicate_of IS NULL), dd AS (SELECT name, smiles_duplicate_of AS dup FROM o WHERE smiles_duplicate_of IS NOT NULL),
 ff AS (SELECT c.name, CASE WHEN k.name IS NOT NULL THEN c.name ELSE dd.dup END AS found_as FROM c LEFT JOIN k ON k.name = c.name LEFT JOIN dd ON dd.name = c.name)

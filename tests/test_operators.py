@@ -373,3 +373,11 @@ def test_streaming(spark, tmp_path):
     q = rerank.best_so_far(spark.readStream.schema(schema).parquet(src)).writeStream.outputMode("complete").format("memory").queryName("best").trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert [(r.name, r.best_score, r.n_poses) for r in spark.sql("select * from best").collect()] == [("a", -9.0, 3)]
+
+
+def test_heat_rows_take_residues_from_the_data(spark, rows):
+    data = [(f"m{m}", f"XYZ{i}.Q", float(i + m)) for i in range(30) for m in range(31 - i)] + [("m0", "XYZ0.Q", -1.0), ("m1", "XYZ0.Q", None)]
+    df = spark.createDataFrame(data, "molecule_name string, residue string, min_distance double")
+    got = contacts.heat_rows(df, 20).collect()
+    assert {(r.place, r.residue) for r in got} == {(i + 1, f"XYZ{i}.Q") for i in range(20)} and len(got) == sum(31 - i for i in range(20))
+    assert {r.molecule_name: r.min_distance for r in got if r.place == 1}["m0"] == -1.0

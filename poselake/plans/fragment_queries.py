@@ -87,8 +87,8 @@ def convergence(spark: SparkSession, sf: str) -> DataFrame:
     return out.select("name", "weighted_convergence", "min_convergence", "n_fragments", "badge")
 
 
-def composite_ranking(spark: SparkSession, sf: str) -> DataFrame:
-    vina = T.ranking(spark, sf, "vina_affinity").groupBy("name").agg(F.min("vina_affinity").alias("vina_affinity"))
+def composite_ranking(spark: SparkSession, sf: str, ranking: T.Rows = T.ranking) -> DataFrame:
+    vina = ranking(spark, sf, "vina_affinity").groupBy("name").agg(F.min("vina_affinity").alias("vina_affinity"))
     out = A.composite_ranking(r(A.weighted_convergence(_weighted(spark, sf)), "weighted_convergence"), vina)
     return r(out, "composite_score").select("rank", "name", "vina_affinity", "weighted_convergence", "composite_score")
 
@@ -134,15 +134,15 @@ def nearest_residues(spark: SparkSession, sf: str) -> DataFrame:
     return K.nearest_residues(T.molecule_contacts(spark, sf), ["molecule_name", "fragment_id"], 3)
 
 
-def hit_export(spark: SparkSession, sf: str) -> DataFrame:
+def hit_export(spark: SparkSession, sf: str, ranking: T.Rows = T.ranking) -> DataFrame:
     molecules = T.latest(spark, sf, "molecules", "smiles", "source_file", "smiles_duplicate_of")
     originals = molecules.filter("smiles_duplicate_of is null").select("name", "smiles", "source_file")
-    return X.hit_export(consensus_hits(spark, sf), originals, molecules.select("name", F.col("smiles_duplicate_of").alias("duplicate_of")), exclude="REF_")
+    return X.hit_export(consensus_hits(spark, sf, ranking), originals, molecules.select("name", F.col("smiles_duplicate_of").alias("duplicate_of")), exclude="REF_")
 
 
-def missing_originals(spark: SparkSession, sf: str) -> DataFrame:
+def missing_originals(spark: SparkSession, sf: str, ranking: T.Rows = T.ranking) -> DataFrame:
     """Molecules of the ranking that the molecule table lacks."""
-    return X.unresolved(T.ranking(spark, sf), T.latest(spark, sf, "molecules", "smiles"))
+    return X.unresolved(ranking(spark, sf), T.latest(spark, sf, "molecules", "smiles"))
 
 
 def poses_per_source(spark: SparkSession, sf: str) -> DataFrame:

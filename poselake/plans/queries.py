@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import footprint_queries, fragment_queries, geometry_queries, rank_queries, report_queries, text_queries
+from . import footprint_queries, fragment_queries, geometry_queries, rank_queries, report_queries, source_queries, text_queries
 from .sql import rounded
 
-MODULES = [rank_queries, footprint_queries, geometry_queries, fragment_queries, report_queries, text_queries]
+MODULES = [rank_queries, footprint_queries, geometry_queries, fragment_queries, report_queries, source_queries, text_queries]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -32,12 +32,12 @@ def dominance_counts(spark: SparkSession, sf: str) -> DataFrame:
     return best.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _engine(spark: SparkSession, sf: str) -> DataFrame:
-    return T.ranking(spark, sf, "vina_affinity", "cnn_score", "cnn_affinity").withColumn("success", F.col("vina_affinity").isNotNull())
+def _engine(spark: SparkSession, sf: str, ranking: T.Rows = T.ranking) -> DataFrame:
+    return ranking(spark, sf, "vina_affinity", "cnn_score", "cnn_affinity").withColumn("success", F.col("vina_affinity").isNotNull())
 
 
-def engine_ranks(spark: SparkSession, sf: str) -> DataFrame:
-    out = R.engine_ranks(_engine(spark, sf)).withColumn("is_reference", F.col("name").startswith("REF_"))
+def engine_ranks(spark: SparkSession, sf: str, ranking: T.Rows = T.ranking) -> DataFrame:
+    out = R.engine_ranks(_engine(spark, sf, ranking)).withColumn("is_reference", F.col("name").startswith("REF_"))
     return out.select("source_file", "name", "vina_rank", "cnn_score_rank", "cnn_affinity_rank", "consensus_rank", "is_top_n", "is_reference")
 
 
@@ -45,52 +45,52 @@ def pose_statistics(spark: SparkSession, sf: str) -> DataFrame:
     return r(C.pose_statistics(T.poses(spark, sf)), "mean_grid_score", "spread", "ratio")
 
 
-def _merged(spark: SparkSession, sf: str) -> DataFrame:
+def _merged(spark: SparkSession, sf: str, ranking: T.Rows = T.ranking) -> DataFrame:
     """Both engines' molecules, each ranked by its engine; a molecule of several sources counts with its best affinity."""
-    gnina = T.ranking(spark, sf, "vina_affinity", "gnina_composite").groupBy("name").agg(F.min("vina_affinity").alias("vina_affinity"), F.min("gnina_composite").alias("gnina_composite")).filter("vina_affinity is not null")
+    gnina = ranking(spark, sf, "vina_affinity", "gnina_composite").groupBy("name").agg(F.min("vina_affinity").alias("vina_affinity"), F.min("gnina_composite").alias("gnina_composite")).filter("vina_affinity is not null")
     gnina = C.ranked(C.ranked(gnina, "vina_affinity", "gnina_vina_rank"), "gnina_composite", "gnina_composite_rank")
     dock6 = r(C.pose_statistics(T.poses(spark, sf)), "mean_grid_score").select("name", "best_grid_score", "mean_grid_score", "n_modes")
     dock6 = C.ranked(C.ranked(dock6, "best_grid_score", "dock6_best_rank"), "mean_grid_score", "dock6_mean_rank")
     return C.merge_engines(gnina, dock6)
 
 
-def cross_engine_consensus(spark: SparkSession, sf: str) -> DataFrame:
-    return r(C.consensus(_merged(spark, sf)), "avg_rank")
+def cross_engine_consensus(spark: SparkSession, sf: str, ranking: T.Rows = T.ranking) -> DataFrame:
+    return r(C.consensus(_merged(spark, sf, ranking)), "avg_rank")
 
 
-def consensus_hits(spark: SparkSession, sf: str) -> DataFrame:
-    return C.consensus(_merged(spark, sf)).filter("n_lists >= 2").select("consensus_rank", "name", "n_lists", "best_rank")
+def consensus_hits(spark: SparkSession, sf: str, ranking: T.Rows = T.ranking) -> DataFrame:
+    return C.consensus(_merged(spark, sf, ranking)).filter("n_lists >= 2").select("consensus_rank", "name", "n_lists", "best_rank")
 
 
-def list_overlap(spark: SparkSession, sf: str) -> DataFrame:
-    return C.list_overlaps(C.consensus(_merged(spark, sf)))
+def list_overlap(spark: SparkSession, sf: str, ranking: T.Rows = T.ranking) -> DataFrame:
+    return C.list_overlaps(C.consensus(_merged(spark, sf, ranking)))
 
 
-def n_lists_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return C.consensus(_merged(spark, sf)).groupBy("n_lists").agg(F.count(F.lit(1)).alias("n"))
+def n_lists_counts(spark: SparkSession, sf: str, ranking: T.Rows = T.ranking) -> DataFrame:
+    return C.consensus(_merged(spark, sf, ranking)).groupBy("n_lists").agg(F.count(F.lit(1)).alias("n"))
 
 
-def gnina_only_hits(spark: SparkSession, sf: str) -> DataFrame:
+def gnina_only_hits(spark: SparkSession, sf: str, ranking: T.Rows = T.ranking) -> DataFrame:
     lists = tuple(C.LISTS)
-    return C.engine_only(C.consensus(_merged(spark, sf)), lists[:2], lists[2:]).select("name", "vina_affinity")
+    return C.engine_only(C.consensus(_merged(spark, sf, ranking)), lists[:2], lists[2:]).select("name", "vina_affinity")
 
 
-def dock6_only_hits(spark: SparkSession, sf: str) -> DataFrame:
+def dock6_only_hits(spark: SparkSession, sf: str, ranking: T.Rows = T.ranking) -> DataFrame:
     lists = tuple(C.LISTS)
-    return C.engine_only(C.consensus(_merged(spark, sf)), lists[2:], lists[:2]).select("name", "best_grid_score")
+    return C.engine_only(C.consensus(_merged(spark, sf, ranking)), lists[2:], lists[:2]).select("name", "best_grid_score")
 
 
-def engine_correlation(spark: SparkSession, sf: str) -> DataFrame:
-    df = T.ranking(spark, sf, "vina_affinity", "mean_grid_score")
+def engine_correlation(spark: SparkSession, sf: str, ranking: T.Rows = T.ranking) -> DataFrame:
+    df = ranking(spark, sf, "vina_affinity", "mean_grid_score")
     return r(C.linear_fit(df, "mean_grid_score", "vina_affinity"), "pearson", "slope", "intercept").withColumn("strength", correlation_words(F.col("pearson")))
 
 
-def engine_spearman(spark: SparkSession, sf: str) -> DataFrame:
-    return r(C.spearman(T.ranking(spark, sf, "vina_affinity", "best_grid_score"), "vina_affinity", "best_grid_score"), "spearman")
+def engine_spearman(spark: SparkSession, sf: str, ranking: T.Rows = T.ranking) -> DataFrame:
+    return r(C.spearman(ranking(spark, sf, "vina_affinity", "best_grid_score"), "vina_affinity", "best_grid_score"), "spearman")
 
 
-def quadrant_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return r(C.quantile_counts(T.ranking(spark, sf, "vina_affinity", "weighted_convergence"), "vina_affinity", "weighted_convergence"), "q_low", "q_high", "median_other")
+def quadrant_counts(spark: SparkSession, sf: str, ranking: T.Rows = T.ranking) -> DataFrame:
+    return r(C.quantile_counts(ranking(spark, sf, "vina_affinity", "weighted_convergence"), "vina_affinity", "weighted_convergence"), "q_low", "q_high", "median_other")
 
 
 def smiles_duplicates(spark: SparkSession, sf: str) -> DataFrame:
@@ -107,8 +107,8 @@ def source_counts(spark: SparkSession, sf: str) -> DataFrame:
     return T.latest(spark, sf, "molecules", "source_file", "source_format").groupBy("source_file", "source_format").agg(F.count(F.lit(1)).alias("n"))
 
 
-def top30_vina(spark: SparkSession, sf: str) -> DataFrame:
-    df = T.ranking(spark, sf, "vina_affinity")
+def top30_vina(spark: SparkSession, sf: str, ranking: T.Rows = T.ranking) -> DataFrame:
+    df = ranking(spark, sf, "vina_affinity")
     return R.lowest(df, "vina_affinity", 30, ["name", "source_file"])
 
 

@@ -67,9 +67,9 @@ def fragment_stack(spark: SparkSession, sf: str) -> DataFrame:
     return placed.groupBy("molecule_name", "total").pivot("place", [1, 2, 3, 4, 5]).agg(F.min("score_contribution")).withColumnsRenamed({str(i): f"f{i}" for i in range(1, 6)})
 
 
-def top20_druglikeness(spark: SparkSession, sf: str) -> DataFrame:
+def top20_druglikeness(spark: SparkSession, sf: str, ranking: T.Rows = T.ranking) -> DataFrame:
     """The 20 molecules of lowest affinity with their properties."""
-    vina = T.ranking(spark, sf, "vina_affinity").groupBy("name").agg(F.min("vina_affinity").alias("vina_affinity"))
+    vina = ranking(spark, sf, "vina_affinity").groupBy("name").agg(F.min("vina_affinity").alias("vina_affinity"))
     return R.lowest(vina, "vina_affinity", 20, ["name"]).join(T.latest(spark, sf, "molecules", "mw", "logp", "qed", "tpsa"), "name", "left")
 
 
@@ -80,9 +80,9 @@ def druglikeness_cards(spark: SparkSession, sf: str) -> DataFrame:
     return df.groupBy(bad.alias("violations")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def engine_best_20(spark: SparkSession, sf: str) -> DataFrame:
+def engine_best_20(spark: SparkSession, sf: str, ranking: T.Rows = T.ranking) -> DataFrame:
     """Consensus of at least two lists, the best 20."""
-    return C.consensus(_merged(spark, sf)).filter("n_lists >= 2").orderBy("consensus_rank").limit(20).select("consensus_rank", "name", "n_lists", "vina_affinity", "best_grid_score")
+    return C.consensus(_merged(spark, sf, ranking)).filter("n_lists >= 2").orderBy("consensus_rank").limit(20).select("consensus_rank", "name", "n_lists", "vina_affinity", "best_grid_score")
 
 
 QUERIES = [mode_histogram, score_cards, energy_terms, vdw_and_es, size_and_contribution, convergence_and_energy, ring_and_linker, fragment_stack, top20_druglikeness, druglikeness_cards, engine_best_20]

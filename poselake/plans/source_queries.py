@@ -1,0 +1,36 @@
+"""Queries of the cross-engine ranking over all its rows, those with a null source file too: NAME_all.
+
+The queries without ``_all`` leave those rows out, as their SQL does.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from . import fragment_queries, rank_queries, report_queries
+from . import tables as T
+from .rank_queries import _X
+from .sql import LATEST_OK
+
+NAMES = [
+    "engine_ranks", "cross_engine_consensus", "consensus_hits", "list_overlap", "n_lists_counts", "gnina_only_hits", "dock6_only_hits", "engine_correlation", "engine_spearman", "quadrant_counts",
+    "composite_ranking", "missing_originals", "hit_export", "top30_vina", "top20_druglikeness", "engine_best_20",
+]
+_MODULES = [rank_queries, fragment_queries, report_queries]
+
+
+def _all(query: Callable[..., DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        return query(spark, sf, T.ranking_all)
+
+    run.__name__, run.__doc__ = f"{query.__name__}_all", query.__doc__
+    return run
+
+
+QUERIES = [_all(next(q for m in _MODULES for q in m.QUERIES if q.__name__ == n)) for n in NAMES]
+
+_ALL = "SELECT * FROM cross_engine_ranking QUALIFY name IS NOT NULL AND (source_file IS NULL OR row_number() OVER (PARTITION BY source_file, name ORDER BY loaded_at DESC NULLS LAST) = 1)"
+_OK = LATEST_OK("cross_engine_ranking", ["source_file", "name"])
+SQL = {f"{n}_all": next(m.SQL[n] for m in _MODULES if n in m.SQL).replace(_X, _ALL).replace(_OK, _ALL) for n in NAMES}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,16 +16,20 @@ KEYS = {
 }
 
 
+#: What gives the rows of a table: (spark, directory, columns...).
+Rows = Callable[..., DataFrame]
+
+
 def raw(spark: SparkSession, sf: str, table: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{sf}/{table}.parquet")
     return df.select(*columns) if columns else df
 
 
-def latest(spark: SparkSession, sf: str, table: str, *columns: str) -> DataFrame:
-    """The counting rows of a table, without ``loaded_at``; rows with a null key are left out."""
+def latest(spark: SparkSession, sf: str, table: str, *columns: str, required: Sequence[str] | None = None) -> DataFrame:
+    """The counting rows of a table, without ``loaded_at``; rows with a null in ``required`` (by default the key) are left out."""
     keys = KEYS[table]
     wanted = [*dict.fromkeys([*keys, *columns]), "loaded_at"] if columns else []
-    df = raw(spark, sf, table, *wanted).dropna(subset=keys)
+    df = raw(spark, sf, table, *wanted).dropna(subset=keys if required is None else list(required))
     near = F.floor(F.col(keys[0]) / 4096) if table == "residue_contacts" else None
     df = latest_rows(df, keys, near=near).drop("loaded_at")
     return df.withColumns({c: finite(c) for c, t in df.dtypes if t == "double"})
@@ -37,6 +43,11 @@ def ranking(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     return latest(spark, sf, "cross_engine_ranking", *columns)
 
 
+def ranking_all(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """As :func:`ranking`, with the rows whose source file is null: none of them is another's copy, so all count."""
+    return latest(spark, sf, "cross_engine_ranking", *columns, required=["name"])
+
+
 def contacts(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     """(contact_id, result_id, residue, contact_type, ...) with terms instead of spellings; rows without a residue are left out."""
     df = latest(spark, sf, "residue_contacts", "result_id", "residue_id", "contact_type", *columns)

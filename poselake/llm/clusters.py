@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -158,6 +159,53 @@ def kmeans_clusters(df: DataFrame, key: str, vector: Column, k: int, typical: in
     return sizes.join(near, "cluster")
 
 
+def frame_clusters(df: DataFrame, space: list[str], key: str, xyz: tuple[str, ...], typical: int = 3, seed: int = 7, rounds: int = 3, steps: int = 10) -> DataFrame:
+    """(space..., cluster, n_members, radius, typical array<key>): k-means clusters within each ``space``, whose nulls are a value.
+
+    A row is only compared with centres of its own space. A space of n rows gets ceil(sqrt(n / 2)) centres (fewer if it has
+    fewer distinct positions), seeded as in :func:`kmeans_centres`; Lloyd steps end when no centre moves. Centres stay in
+    tables; a task of the seeding's reduction holds the candidates of one space, about 2k.
+    """
+    rows = df.select(F.to_json(F.struct(*space), {"ignoreNullFields": "false"}).alias("frame"), F.struct(*space).alias("space"), F.col(key).alias("key"), F.array(*[F.col(c).cast("double") + F.lit(0.0) for c in xyz]).alias("p"))
+    rows = written(rows.filter(~F.exists("p", lambda x: x.isNull() | F.isnan(x))))
+    sizes = written(rows.groupBy("frame").agg(F.ceil(F.sqrt(F.count(F.lit(1)) / 2)).cast("int").alias("k"), F.min_by("p", F.struct(F.xxhash64("p", F.lit(seed)), "p")).alias("p")))
+
+    def nearest(centres: DataFrame) -> DataFrame:
+        """Rows with ``near``: (d2, cell) of the nearest centre of their frame."""
+        held = centres.groupBy("frame").agg(F.sort_array(F.collect_list("p")).alias("centres"))
+        d2 = lambda c: F.aggregate(F.zip_with("p", c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda x, y: x + y)
+        near = F.array_min(F.transform("centres", lambda c, i: F.struct(d2(c).alias("d2"), i.alias("cell"), c.alias("c"))))
+        return rows.join(held, "frame").withColumn("near", near).drop("centres")
+
+    centres = sizes.select("frame", "p")
+    for turn in range(rounds):
+        scored = nearest(centres)
+        mass = scored.groupBy("frame").agg(F.sum("near.d2").alias("mass")).join(sizes.select("frame", "k"), "frame")
+        chance = F.pmod(F.xxhash64("p", F.lit(seed), F.lit(turn)), F.lit(1 << 30)) / float(1 << 30)
+        drawn = scored.join(mass, "frame").filter((F.col("mass") > 0) & (chance * F.col("mass") < F.col("near.d2") * F.col("k") * (2.0 / rounds)))
+        centres = written(centres.unionByName(drawn.select("frame", "p")).distinct())
+    weighed = nearest(centres).groupBy("frame", F.col("near.c").alias("p")).agg(F.count(F.lit(1)).alias("n")).join(sizes.select("frame", "k"), "frame")
+
+    def reduced(group):
+        group = group.assign(at=group["p"].map(tuple)).sort_values("at")  # whatever their order of arrival
+        kept = _reduce(np.stack(group["p"].to_list()).astype(float), group["n"].to_numpy(float), int(group["k"].iloc[0]), seed)
+        return pd.DataFrame({"frame": [group["frame"].iloc[0]] * len(kept), "p": list(kept)})
+
+    centres = written(weighed.groupBy("frame").applyInPandas(reduced, centres.schema))
+    for _ in range(steps):
+        means = nearest(centres).groupBy("frame", F.col("near.c").alias("c")).agg(*[F.avg(F.get("p", i)).alias(f"m{i}") for i in range(len(xyz))])
+        moved = written(means.select("frame", "c", F.array(*[f"m{i}" for i in range(len(xyz))]).alias("p")))
+        centres = moved.select("frame", "p")
+        if not moved.filter(F.exists(F.zip_with("c", "p", lambda a, b: F.abs(a - b)), lambda x: x > 1e-3)).limit(1).count():
+            break
+    placed = written(nearest(centres).select("frame", "space", "key", F.sqrt("near.d2").alias("d"), F.col("near.cell").alias("cluster")))
+    by = ["frame", "cluster"]
+    ranked = placed.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy("d", "key"))).filter(F.col("rank") <= typical)
+    near = ranked.groupBy(*by).agg(F.first("space").alias("space"), F.transform(F.sort_array(F.collect_list(F.struct("rank", "key"))), lambda x: x["key"]).alias("typical"))
+    sized = placed.groupBy(*by).agg(F.count(F.lit(1)).alias("n_members"), F.max("d").alias("radius"))
+    return sized.join(near, by).select(*[F.col(f"space.{s}").alias(s) for s in space], F.col("cluster").cast("bigint").alias("cluster"), "n_members", "radius", "typical")
+
+
 # Groups of near positions ---------------------------------------------------------------------------
 def near_groups(df: DataFrame, space: list[str], key: str, xyz: tuple[str, str, str], reach: float = 2.0, k: int | None = None, per_cell: int = 2000, most: int = 1024) -> DataFrame:
     """(space..., key, first_id): every row with the smallest key of its group.

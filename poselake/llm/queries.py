@@ -129,8 +129,7 @@ def p5_groups(spark: SparkSession, sf: str) -> DataFrame:
 def p5_clusters(spark: SparkSession, sf: str) -> DataFrame:
     """k-means clusters of the positions, apart by kind and campaign, by size and most typical members."""
     rows = _positions(spark, sf).withColumn("key", F.concat_ws(":", "kind", F.col("member_id").cast("string")))
-    vector = clusters.hashed_features(dict.fromkeys(_XYZ, 1.0), {"kind": 1000.0, "campaign_id": 1000.0})
-    return clusters.kmeans_clusters(rows, "key", vector, k=64)
+    return clusters.frame_clusters(rows, ["kind", "campaign_id"], "key", _XYZ)
 
 
 # 6 ------------------------------------------------------------------------------------------------

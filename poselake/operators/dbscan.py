@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import written
 from .geometry import spatial_join
-from .linking import cubes, link_blocks
+from .linking import CELL, cells, link_near
 
 
 def pairwise_rmsd(coords: np.ndarray) -> np.ndarray:
@@ -74,7 +74,7 @@ def dbscan_positions(points: DataFrame, key: str, eps: float = 2.0, least: int =
 
     Equal positions are one node with a weight. Nodes in grid cells narrower than ``eps`` that hold ``least``
     points are cores without any pair; pairs are made for the rest only, fewer than ``least`` a cell, against
-    what is near them. Cores are linked exactly, block by block (see linking).
+    what is near them. Cores are linked exactly (see linking).
     """
     finite = " and ".join(f"abs({c}) != double('inf')" for c in "xyz")
     rows = points.dropna(subset=["x", "y", "z", *on]).filter(finite).select(*on, key, *[(F.col(c) + F.lit(0.0)).alias(c) for c in "xyz"])
@@ -89,7 +89,7 @@ def dbscan_positions(points: DataFrame, key: str, eps: float = 2.0, least: int =
     near = written(spatial_join(sparse, nodes, eps, True, ("name",)).select("name", "node", F.col("r_node").alias("other"), F.col("r_n").alias("other_n")))
     more = near.groupBy("name", "node").agg(F.sum("other_n").alias("around")).filter(F.col("around") >= least).select("name", "node")
     core = written(nodes.filter("dense").select("name", "node", "x", "y", "z").unionByName(sparse.join(more, ["name", "node"], "left_semi").select("name", "node", "x", "y", "z")))
-    labels = written(link_blocks(cubes(core, eps), eps, ("bx", "by", "bz")))
+    labels = written(core.withColumns(cells(eps)).join(link_near(core, eps), ["name", *CELL]).select("name", "node", "first"))
     border = near.join(labels.select("name", F.col("node").alias("other"), "first"), ["name", "other"]).groupBy("name", "node").agg(F.min("first").alias("reached"))
     found = nodes.join(labels, ["name", "node"], "left").join(border, ["name", "node"], "left")
     found = found.select("name", "x", "y", "z", F.coalesce("first", "reached").alias("cluster"), F.col("first").isNotNull().alias("is_core"))

@@ -255,6 +255,51 @@ def test_link_positions(seed, chunk):
     assert len(set(zip(a.tolist(), b.tolist()))) == len(set(a.tolist())) == len(set(b.tolist()))
 
 
+def test_link_positions_far_away():
+    p = np.array([(0.0, 0, 0), (10, 0, 0), (50, 3, 1), (-1e20, 0, 0)])
+    assert linking.link_positions(p, 2.0).tolist() != [0, 0, 1, 2] and len(set(linking.link_positions(p, 2.0).tolist())) == 4
+    p = np.array([(1e20, 0.0, 0), (1e20, 1.5, 0), (1e300, 0, -1e300), (1e300, 0, -1e300), (2.0**40, 0, 0), (2.0**40 + 2, 0, 0), (2.0**40 + 4.5, 0, 0)])
+    assert len(set(linking.link_positions(p, 2.0).tolist())) == 4  # {0, 1}, {2, 3}, {4, 5}, {6}
+
+
+def _first(spark, p, reach, names=None):
+    names = names or ["m"] * len(p)
+    df = spark.createDataFrame([(n, i, *map(float, x)) for i, (n, x) in enumerate(zip(names, p))], "name string, node int, x double, y double, z double").repartition(4)
+    got = {r.node: r.first for r in df.withColumns(linking.cells(reach)).join(linking.link_near(df, reach), ["name", *linking.CELL]).collect()}
+    return [got[i] for i in range(len(p))]
+
+
+@pytest.mark.parametrize(("seed", "reach"), [(1, 2.0), (2, 1.5), (3, 3.7)])
+def test_link_near_against_brute_force(spark, seed, reach, monkeypatch):
+    monkeypatch.setattr(linking, "GATHER", 60)
+    rng = np.random.default_rng(seed)
+    p = np.concatenate([rng.uniform(-14, 14, (260, 3)), np.round(rng.uniform(-3, 3, (40, 3))), [[1e20, 0, 0], [-1e20, 0, 0], [1e20, 1, 0]]])
+    names = ["a" if i % 5 else "b" for i in range(300)] + ["a"] * 3
+    same = np.array(names)[:, None] == np.array(names)[None]
+    near = (((p[:, None] - p[None]) ** 2).sum(2) <= reach**2 + 1e-9) & same
+    b = np.arange(len(p))
+    while (b != (b := np.array([b[n].min() for n in near]))).any():
+        pass
+    assert _first(spark, p, reach, names) == b.tolist()
+
+
+def test_link_near_where_boxes_are_open(spark):
+    """Two sheets a hair more, or less, than the reach apart, many positions a box: only finer boxes can tell."""
+    rng = np.random.default_rng(4)
+    sheet = np.c_[rng.uniform(0, 0.3, (300, 2)), rng.uniform(-0.05, 0, 300)]
+    for gap, joined in ((2.0 + 1e-7, False), (2.0, True)):
+        p = np.concatenate([sheet, [[0.1, 0.1, 0.0]], sheet * [1, 1, -1] + [0, 0, gap], [[0.1, 0.1, gap]]])
+        got = _first(spark, p, 2.0)
+        assert len(set(got)) == (1 if joined else 2) and set(got[:301]) == {0}
+
+
+def test_link_near_of_a_crowded_place(spark):
+    """However many positions a place holds, boxes bound what a block gathers."""
+    crowd = spark.range(400_000).select(F.lit("m").alias("name"), F.col("id").alias("node"), *[(F.rand(i) * 4).alias(c) for i, c in enumerate("xyz")])
+    boxes = linking._boxed(crowd, linking.cell_side(2.0) / linking.SUB)
+    assert boxes.count() <= (4 * linking.SUB / linking.cell_side(2.0)) ** 3 and {r.first for r in linking.link_near(crowd, 2.0).collect()} == {0}
+
+
 def test_components_against_union_find(spark, rows):
     rnd = random.Random(2)
     edges = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 440)] + [(500, 500), (None, 1)]

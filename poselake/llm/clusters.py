@@ -8,13 +8,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..operators.linking import link_blocks
+from ..operators.linking import CELL, cells, link_near
 from ..session import written
 
 #: Vectors compared with all centres at once.
 ROWS = 2048
-#: Slack for the float error of distances to centres.
-SLACK = 1e-3
+#: Rows of one frame that a task compares with the frame's centres.
+PART = 50_000
 
 
 def hashed_features(numeric: dict[str, float], categorical: dict[str, float], slots: int = 8) -> Column:
@@ -23,7 +23,7 @@ def hashed_features(numeric: dict[str, float], categorical: dict[str, float], sl
     A category ``name=value`` adds its weight, with a hashed sign, to two hashed slots; nulls are a value.
     Numbers must not be null.
     """
-    parts = [F.col(c).cast("double") * w for c, w in numeric.items()]
+    parts = [F.col(c).cast("double") * w + F.lit(0.0) for c, w in numeric.items()]
     sums = []
     for s in range(slots):
         total = F.lit(0.0)
@@ -36,89 +36,31 @@ def hashed_features(numeric: dict[str, float], categorical: dict[str, float], sl
     return F.array(*parts, *sums)
 
 
-def _matrix(batch: pa.RecordBatch, name: str = "vector") -> np.ndarray:
-    column = batch.column(name)
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) if batch.num_rows else np.empty((0, 0))
-
-
-def _squared(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    return np.maximum((points**2).sum(1)[:, None] - 2 * points @ centres.T + (centres**2).sum(1)[None, :], 0)
+def _matrix(table: pa.Table, name: str = "p") -> np.ndarray:
+    column = table.column(name).combine_chunks()
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1) if len(column) else np.empty((0, 0))
 
 
 def _nearest(points: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The nearest centre of each point, the first of equals, and the squared distance, computed without cancellation."""
     which, far = np.empty(len(points), np.int64), np.empty(len(points))
+    size = (centres**2).sum(1)[None, :]
     for a in range(0, len(points), ROWS):
-        d = _squared(points[a : a + ROWS], centres)
-        which[a : a + ROWS] = d.argmin(1)
-        far[a : a + ROWS] = d.min(1)
+        some = points[a : a + ROWS]
+        which[a : a + ROWS] = (size - 2 * some @ centres.T).argmin(1)
+        far[a : a + ROWS] = ((some - centres[which[a : a + ROWS]]) ** 2).sum(1)
     return which, far
 
 
-def kmeans_centres(vectors: DataFrame, k: int, seed: int = 7, rounds: int = 3, steps: int = 4) -> np.ndarray:
-    """At most ``k`` centres of ``vector`` (array<double>): k-means|| seeding, then Lloyd steps.
-
-    Each seeding round keeps about 2k / rounds points with a chance in proportion to their squared distance
-    from those kept; the chance is a hash of vector and round, so a task that runs again keeps the same. The candidates,
-    weighted by the points nearest to them, are reduced to k on the driver, which holds O(k) vectors only.
-    """
-    spark = vectors.sparkSession
-    first = vectors.select("vector").orderBy(F.xxhash64("vector", F.lit(seed))).limit(1).collect()
-    if not first:
-        return np.empty((0, 0))
-    centres = np.array([first[0].vector])
-    for turn in range(rounds):
-        shared = spark.sparkContext.broadcast(centres)
-        scored = vectors.select("vector").mapInArrow(_distances(shared), "vector array<double>, d double")
-        total = scored.agg(F.sum("d")).first()[0] or 0.0
-        if total <= SLACK:
-            break
-        chance = F.pmod(F.xxhash64("vector", F.lit(seed), F.lit(turn)), F.lit(1 << 30)) / float(1 << 30)
-        drawn = scored.filter(chance < F.lit(2.0 * k / rounds / total) * F.col("d")).select("vector").distinct().collect()  # about 2k / rounds
-        centres = np.unique(np.vstack([centres, *[np.array([r.vector]) for r in drawn]]), axis=0)
-    weight = np.zeros(len(centres))
-    for cell, n, _ in _cells(vectors, centres):
-        weight[cell] = n
-    centres = _reduce(centres, weight, k, seed)
-    for _ in range(steps):
-        moved = centres.copy()
-        for cell, n, total in _cells(vectors, centres):
-            moved[cell] = np.array(total) / n
-        done = np.allclose(moved, centres, atol=1e-3)
-        centres = moved
-        if done:
-            break
-    return centres
-
-
-def _distances(shared):
-    def run(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("vector"), pa.array(_nearest(_matrix(batch), shared.value)[1] if batch.num_rows else np.empty(0))], ["vector", "d"])
-
-    return run
+def _centres(table: pa.Table) -> np.ndarray:
+    """The centres of a frame in one order, whatever theirs of arrival."""
+    return np.unique(_matrix(table), axis=0)
 
 
-def _cells(vectors: DataFrame, centres: np.ndarray) -> list:
-    """(cell, points, sum of their vectors), added up in each partition first: at most one row per centre."""
-    shared = vectors.sparkSession.sparkContext.broadcast(centres)
-
-    def run(batches):
-        n, total = np.zeros(len(shared.value), np.int64), np.zeros(shared.value.shape)
-        for batch in batches:
-            if batch.num_rows:
-                points = _matrix(batch)
-                which, _ = _nearest(points, shared.value)
-                n += np.bincount(which, minlength=len(n))
-                np.add.at(total, which, points)
-        some = np.flatnonzero(n)
-        d = total.shape[1]
-        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(some, d)), pa.array(np.tile(np.arange(d), len(some))), pa.array(np.repeat(n[some], d)), pa.array(total[some].ravel())], ["cell", "place", "n", "total"])
-
-    sums = vectors.select("vector").mapInArrow(run, "cell bigint, place bigint, n bigint, total double").groupBy("cell", "place").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
-    out: dict[int, tuple[int, dict[int, float]]] = {}
-    for r in sums.collect():  # k x dimension numbers
-        out.setdefault(r.cell, (r.n, {}))[1][r.place] = r.total
-    return [(c, n, [t[i] for i in sorted(t)]) for c, (n, t) in sorted(out.items())]
+def _lists(rows: np.ndarray) -> pa.Array:
+    rows = np.ascontiguousarray(rows, np.float64)
+    width = rows.shape[1] if rows.ndim == 2 else 0
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1, dtype=np.int32) * width), pa.array(rows.ravel()))
 
 
 def _reduce(points: np.ndarray, weight: np.ndarray, k: int, seed: int) -> np.ndarray:
@@ -138,141 +80,132 @@ def _reduce(points: np.ndarray, weight: np.ndarray, k: int, seed: int) -> np.nda
     return points[kept]
 
 
-def kmeans_clusters(df: DataFrame, key: str, vector: Column, k: int, typical: int = 3) -> DataFrame:
-    """(cluster, n_members, radius, typical array<key>): clusters by size and the members nearest each centre.
-
-    Rows with a null in the vector are left out; equal distances go by ``key``; an empty table gives no rows.
-    """
-    vectors = written(df.select(F.col(key), vector.alias("vector")).filter(~F.exists("vector", lambda x: x.isNull() | F.isnan(x))))
-    centres = kmeans_centres(vectors, k)
-    shared = df.sparkSession.sparkContext.broadcast(centres)
-
-    def run(batches):
-        for batch in batches:
-            which, far = _nearest(_matrix(batch), shared.value) if batch.num_rows else (np.empty(0, np.int64), np.empty(0))
-            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(which), pa.array(np.sqrt(far))], [key, "cluster", "d"])
-
-    placed = vectors.mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, cluster bigint, d double")
-    sizes = placed.groupBy("cluster").agg(F.count(F.lit(1)).alias("n_members"), F.max("d").alias("radius"))
-    rank = F.row_number().over(Window.partitionBy("cluster").orderBy("d", key))
-    near = placed.withColumn("rank", rank).filter(F.col("rank") <= typical).groupBy("cluster").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", key))), lambda x: x[key]).alias("typical"))
-    return sizes.join(near, "cluster")
+def frame_clusters(df: DataFrame, space: list[str], key: str, vector: Column, typical: int = 3, seed: int = 7, rounds: int = 3, steps: int = 10) -> DataFrame:
+    """(space..., cluster, n_members, radius, typical array<key>): k-means clusters within each ``space``, whose nulls are a value.
 
+    ``vector`` is an array of doubles of one length (see :func:`hashed_features`); rows with a null, NaN or infinity in it
+    are left out. A row is only compared with centres of its own space; a space of n rows gets ceil(sqrt(n / 2)) centres
+    (fewer if it has fewer distinct vectors). Equal distances go by the centre's and the ``key``'s order; an empty table gives no rows.
 
-def frame_clusters(df: DataFrame, space: list[str], key: str, xyz: tuple[str, ...], typical: int = 3, seed: int = 7, rounds: int = 3, steps: int = 10) -> DataFrame:
-    """(space..., cluster, n_members, radius, typical array<key>): k-means clusters within each ``space``, whose nulls are a value.
+    Parallel oversampled seeding: each of ``rounds`` draws 2k / rounds vectors with a chance in proportion to rows
+    and squared distance from those drawn (the smallest -ln(u) / mass, u a hash of vector and round, so a task that runs again
+    draws the same). Candidates, weighted by the rows nearest to them, are reduced to k. Then Lloyd steps, until no centre
+    moves by 1e-3 or ``steps`` are done; means are added up in each task first.
 
-    A row is only compared with centres of its own space. A space of n rows gets ceil(sqrt(n / 2)) centres (fewer if it has
-    fewer distinct positions), seeded as in :func:`kmeans_centres`; Lloyd steps end when no centre moves. Centres stay in
-    tables; a task of the seeding's reduction holds the candidates of one space, about 2k.
+    Equal vectors are one, with a weight. A space's vectors are dealt to tasks, ``PART`` each, and each task gets the
+    centres of its space only, so neither a hot space nor the number of spaces bounds anything; nothing reaches the driver.
     """
-    rows = df.select(F.to_json(F.struct(*space), {"ignoreNullFields": "false"}).alias("frame"), F.struct(*space).alias("space"), F.col(key).alias("key"), F.array(*[F.col(c).cast("double") + F.lit(0.0) for c in xyz]).alias("p"))
-    rows = written(rows.filter(~F.exists("p", lambda x: x.isNull() | F.isnan(x))))
-    sizes = written(rows.groupBy("frame").agg(F.ceil(F.sqrt(F.count(F.lit(1)) / 2)).cast("int").alias("k"), F.min_by("p", F.struct(F.xxhash64("p", F.lit(seed)), "p")).alias("p")))
-
-    def nearest(centres: DataFrame) -> DataFrame:
-        """Rows with ``near``: (d2, cell) of the nearest centre of their frame."""
-        held = centres.groupBy("frame").agg(F.sort_array(F.collect_list("p")).alias("centres"))
-        d2 = lambda c: F.aggregate(F.zip_with("p", c, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda x, y: x + y)
-        near = F.array_min(F.transform("centres", lambda c, i: F.struct(d2(c).alias("d2"), i.alias("cell"), c.alias("c"))))
-        return rows.join(held, "frame").withColumn("near", near).drop("centres")
+    name = F.to_json(F.struct(*space), {"ignoreNullFields": "false"})
+    rows = df.select(name.alias("frame"), F.struct(*space).alias("space"), F.col(key).alias("key"), vector.alias("p"))
+    rows = written(rows.filter(F.forall("p", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))))
+    sizes = rows.groupBy("frame").agg(F.first("space").alias("space"), F.count(F.lit(1)).alias("n"), F.min_by("p", F.struct(F.xxhash64("p", F.lit(seed)), "p")).alias("p"))
+    sizes = written(sizes.withColumns({"k": F.ceil(F.sqrt(F.col("n") / 2)).cast("int"), "slots": F.ceil(F.col("n") / PART).cast("int")}))
+    slot = lambda df, by: df.join(sizes.select("frame", "k", "slots"), "frame").withColumn("slot", F.pmod(F.xxhash64(by), "slots").cast("int"))
+    nodes = written(slot(rows.groupBy("frame", "p").agg(F.count(F.lit(1)).alias("n")), "p").select("frame", "slot", "p", "n"))
+
+    def against(points: DataFrame, centres: DataFrame, each, schema: str) -> DataFrame:
+        """``each(points, centres, k)`` for every part of a frame's points."""
+        held = centres.select("frame", "p").join(sizes.select("frame", "k", "slots"), "frame").select("frame", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"), "k", "p")
+        names = [c.split()[0] for c in schema.split(", ")]
+
+        def call(left: pa.Table, right: pa.Table) -> pa.Table:
+            if not left.num_rows or not right.num_rows:
+                return out.empty_table()
+            frame, columns = left.column("frame")[0].as_py(), each(left, _centres(right), right.column("k")[0].as_py())
+            return pa.table([pa.array([frame] * len(columns[0]), pa.string()), *columns], names=names).cast(out)
+
+        from pyspark.sql.pandas.types import to_arrow_schema
+        from pyspark.sql.types import _parse_datatype_string
+
+        out = to_arrow_schema(_parse_datatype_string(schema))
+        return points.groupBy("frame", "slot").cogroup(held.groupBy("frame", "slot")).applyInArrow(call, schema)
+
+    def drawn(left, centres, k):
+        points = _matrix(left)
+        mass = _nearest(points, centres)[1] * left.column("n").to_numpy()
+        far = np.flatnonzero(mass > 0)
+        odds = -np.log(left.column("u").to_numpy()[far]) / mass[far]
+        best = np.argsort(odds, kind="stable")[: -(-2 * k // rounds)]
+        return [_lists(points[far[best]]), pa.array(odds[best]), pa.array(np.full(len(best), k, np.int32))]
+
+    def weighed(left, centres, k):
+        n = np.bincount(_nearest(_matrix(left), centres)[0], left.column("n").to_numpy(), len(centres))
+        return [_lists(centres), pa.array(n), pa.array(np.full(len(centres), k, np.int32))]
+
+    def summed(left, centres, k):
+        points, n = _matrix(left), left.column("n").to_numpy()
+        which = _nearest(points, centres)[0]
+        total = np.stack([np.bincount(which, points[:, i] * n, len(centres)) for i in range(points.shape[1])], 1)
+        return [_lists(centres), _lists(total), pa.array(np.bincount(which, n, len(centres)))]
+
+    def placed(left, centres, k):
+        which, far = _nearest(_matrix(left), centres)
+        return [left.column("key").combine_chunks(), pa.array(which), pa.array(np.sqrt(far))]
 
     centres = sizes.select("frame", "p")
     for turn in range(rounds):
-        scored = nearest(centres)
-        mass = scored.groupBy("frame").agg(F.sum("near.d2").alias("mass")).join(sizes.select("frame", "k"), "frame")
-        chance = F.pmod(F.xxhash64("p", F.lit(seed), F.lit(turn)), F.lit(1 << 30)) / float(1 << 30)
-        drawn = scored.join(mass, "frame").filter((F.col("mass") > 0) & (chance * F.col("mass") < F.col("near.d2") * F.col("k") * (2.0 / rounds)))
-        centres = written(centres.unionByName(drawn.select("frame", "p")).distinct())
-    weighed = nearest(centres).groupBy("frame", F.col("near.c").alias("p")).agg(F.count(F.lit(1)).alias("n")).join(sizes.select("frame", "k"), "frame")
-
-    def reduced(group):
-        group = group.assign(at=group["p"].map(tuple)).sort_values("at")  # whatever their order of arrival
+        u = (F.pmod(F.xxhash64("p", F.lit(seed), F.lit(turn)), F.lit(1 << 30)) + 0.5) / float(1 << 30)
+        some = against(nodes.withColumn("u", u), centres, drawn, "frame string, p array<double>, odds double, k int")
+        at = F.row_number().over(Window.partitionBy("frame").orderBy("odds", "p"))
+        centres = written(centres.unionByName(some.withColumn("at", at).filter(F.col("at") <= F.ceil(2 * F.col("k") / rounds)).select("frame", "p")))
+    weights = against(nodes, centres, weighed, "frame string, p array<double>, n double, k int").groupBy("frame", "p", "k").agg(F.sum("n").alias("n"))
+
+    def reduced(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.assign(at=group["p"].map(tuple)).sort_values("at")
         kept = _reduce(np.stack(group["p"].to_list()).astype(float), group["n"].to_numpy(float), int(group["k"].iloc[0]), seed)
         return pd.DataFrame({"frame": [group["frame"].iloc[0]] * len(kept), "p": list(kept)})
 
-    centres = written(weighed.groupBy("frame").applyInPandas(reduced, centres.schema))
+    centres = written(weights.groupBy("frame").applyInPandas(reduced, "frame string, p array<double>"))  # about 2k candidates a space
     for _ in range(steps):
-        means = nearest(centres).groupBy("frame", F.col("near.c").alias("c")).agg(*[F.avg(F.get("p", i)).alias(f"m{i}") for i in range(len(xyz))])
-        moved = written(means.select("frame", "c", F.array(*[f"m{i}" for i in range(len(xyz))]).alias("p")))
+        sums = against(nodes, centres, summed, "frame string, c array<double>, total array<double>, n double").filter("n > 0").select("frame", "c", "n", F.posexplode("total").alias("at", "x"))
+        means = sums.groupBy("frame", "c", "at").agg((F.sum("x") / F.sum("n")).alias("x")).groupBy("frame", "c").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "x"))), lambda s: s["x"]).alias("p"))
+        moved = written(means)
         centres = moved.select("frame", "p")
         if not moved.filter(F.exists(F.zip_with("c", "p", lambda a, b: F.abs(a - b)), lambda x: x > 1e-3)).limit(1).count():
             break
-    placed = written(nearest(centres).select("frame", "space", "key", F.sqrt("near.d2").alias("d"), F.col("near.cell").alias("cluster")))
+    found = written(against(slot(rows.select("frame", "key", "p"), "key").select("frame", "slot", "key", "p"), centres, placed, f"frame string, key {rows.schema['key'].dataType.simpleString()}, cluster bigint, d double"))
     by = ["frame", "cluster"]
-    ranked = placed.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy("d", "key"))).filter(F.col("rank") <= typical)
-    near = ranked.groupBy(*by).agg(F.first("space").alias("space"), F.transform(F.sort_array(F.collect_list(F.struct("rank", "key"))), lambda x: x["key"]).alias("typical"))
-    sized = placed.groupBy(*by).agg(F.count(F.lit(1)).alias("n_members"), F.max("d").alias("radius"))
-    return sized.join(near, by).select(*[F.col(f"space.{s}").alias(s) for s in space], F.col("cluster").cast("bigint").alias("cluster"), "n_members", "radius", "typical")
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy("d", "key"))).filter(F.col("rank") <= typical)
+    near = ranked.groupBy(*by).agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", "key"))), lambda x: x["key"]).alias("typical"))
+    sized = found.groupBy(*by).agg(F.count(F.lit(1)).alias("n_members"), F.max("d").alias("radius"))
+    return sized.join(near, by).join(sizes.select("frame", "space"), "frame").select(*[F.col("space")[s].alias(s) for s in space], "cluster", "n_members", "radius", "typical")
 
 
 # Groups of near positions ---------------------------------------------------------------------------
-def near_groups(df: DataFrame, space: list[str], key: str, xyz: tuple[str, str, str], reach: float = 2.0, k: int | None = None, per_cell: int = 2000, most: int = 1024) -> DataFrame:
-    """(space..., key, first_id): every row with the smallest key of its group.
+def near_groups(df: DataFrame, space: list[str], key: str, xyz: tuple[str, str, str], reach: float = 2.0, part: str | None = None, least: int = 1) -> DataFrame:
+    """(space..., key, x, y, z, first_id): every row with the smallest key of its group.
 
     Within one ``space`` two rows belong together if at most ``reach`` apart or joined by a row of such steps.
     Rows whose coordinates aren't three finite numbers are left out; nulls in ``space`` are a value; keys
-    must be distinct within a space.
-
-    k-means cannot give such chains by itself: its cells are the blocks, the links are exact. Equal
-    positions are one node, whatever their number. Positions are put into the cells of ``k`` centres (by default one
-    for every ``per_cell`` rows, ``most`` at most: the broadcast is bounded) in a space of coordinates and
-    hashed, heavily weighted space names; a position within ``reach`` of the plane between its cell and a
-    later one also goes there, so every link has both its ends in some block. A block joins its positions on
-    a grid whose cells are narrower than ``reach``, and gives one row per position and block. Roots of
-    positions that lie in several blocks are joined by distributed connected components.
+    must be distinct within a space. With ``part``, only groups with ``least`` different values of that column come out.
+
+    k-means can't give such chains: a chain is no ball around a centre. The links are exact (see
+    :func:`poselake.operators.linking.link_near`): positions are summed up in small boxes first, blocks of boxes are
+    linked in tasks, and blocks are joined by connected components.
     """
     ok = F.lit(True)
     for c in xyz:
         ok = ok & F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf"))
-    rows = written(df.filter(ok).select(F.struct(*[F.col(s) for s in space]).alias("space"), F.col(key).alias("key"), *[(F.col(c).cast("double") + F.lit(0.0)).alias(a) for c, a in zip(xyz, "xyz")]))
-    nodes = rows.groupBy("space", "x", "y", "z").agg(F.min("key").alias("node"))
-    weights = {f"space.{s}": 1000.0 for s in space}
-    nodes = written(nodes.withColumn("vector", hashed_features({"x": 1.0, "y": 1.0, "z": 1.0}, weights)))
-    if k is None:
-        k = max(1, min(most, -(-nodes.count() // per_cell)))
-    centres = kmeans_centres(nodes, k)
-    shared = df.sparkSession.sparkContext.broadcast(centres)
-    kind = nodes.schema["node"].dataType.simpleString()
-    blocks = nodes.withColumn("name", F.to_json("space")).select("name", "node", "x", "y", "z", "vector").mapInArrow(_blocks(shared, reach), f"block bigint, name string, node {kind}, x double, y double, z double")
-    labels = link_blocks(blocks, reach, ("block",)).withColumnRenamed("first", "first_id")
-    placed = nodes.withColumn("name", F.to_json("space")).select("name", "node", "space", "x", "y", "z").join(labels, ["name", "node"]).drop("name", "node")
-    out = rows.join(placed, [rows.space.eqNullSafe(placed.space), rows.x == placed.x, rows.y == placed.y, rows.z == placed.z])
-    return out.select(*[rows.space[s].alias(s) for s in space], F.col("key").alias(key), "first_id")
-
-
-def _blocks(shared, reach: float):
-    def run(batches):
-        centres = shared.value
-        between = np.sqrt(_squared(centres, centres)) if len(centres) else centres
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            points = _matrix(batch)
-            at, cell = [], []
-            for a in range(0, len(points), ROWS):
-                d = _squared(points[a : a + ROWS], centres)
-                home = d.argmin(1)
-                own = d[np.arange(len(d)), home]
-                # Distance to the plane between the two centres is (d2 - own2) / (2 * between).
-                also = (d - own[:, None] <= 2 * (reach + SLACK) * between[home]) & (np.arange(len(centres))[None, :] > home[:, None])
-                i, j = np.nonzero(also)
-                at += [np.arange(a, a + len(d)), a + i]
-                cell += [home, j]
-            take = pa.array(np.concatenate(at))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cell)), *[batch.column(c).take(take) for c in ("name", "node", "x", "y", "z")]], ["block", "name", "node", "x", "y", "z"])
-
-    return run
-
-
-def typical_members(groups: DataFrame, rows: DataFrame, space: list[str], key: str, xyz: tuple[str, str, str], typical: int = 3) -> DataFrame:
-    """(space..., first_id, n_members, radius, typical): size of each group and its members nearest the mean."""
+    name = F.to_json(F.struct(*space), {"ignoreNullFields": "false"})
+    rows = df.filter(ok).select(name.alias("name"), F.struct(*space).alias("space"), F.col(key).alias("node"), *[F.col(part).alias("part")] * bool(part), *[(F.col(c).cast("double") + F.lit(0.0)).alias(a) for c, a in zip(xyz, "xyz")])
+    rows = written(rows)
+    labels = written(link_near(rows, reach))
+    placed = rows.withColumns(cells(reach)).join(labels, ["name", *CELL])
+    if part:
+        listed = placed.groupBy("name", "first").agg(F.countDistinct("part").alias("parts")).filter(F.col("parts") >= least).select("name", "first")
+        placed = placed.join(listed, ["name", "first"])
+    return placed.select(*[F.col("space")[s].alias(s) for s in space], F.col("node").alias(key), *[F.col(a).alias(c) for c, a in zip(xyz, "xyz")], F.col("first").alias("first_id"))
+
+
+def typical_members(placed: DataFrame, space: list[str], key: str, xyz: tuple[str, str, str], typical: int = 3) -> DataFrame:
+    """(space..., first_id, n_members, radius, typical): size of each group of :func:`near_groups` and its members nearest the mean."""
     by = [*space, "first_id"]
-    placed = groups.join(rows.select(*space, key, *xyz), [*space, key])
     centre = placed.groupBy(*by).agg(F.count(F.lit(1)).alias("n_members"), *[F.avg(c).alias(f"c_{c}") for c in xyz])
-    far = F.sqrt(sum(((F.col(c) - F.col(f"c_{c}")) ** 2 for c in xyz[1:]), (F.col(xyz[0]) - F.col(f"c_{xyz[0]}")) ** 2))
-    placed = placed.join(centre, by).withColumn("d", far)
+    own = centre.withColumnsRenamed({c: f"_{c}" for c in by})
+    far = [(F.col(c) - F.col(f"c_{c}")) * (F.col(c) - F.col(f"c_{c}")) for c in xyz]
+    placed = placed.join(own, [placed[c].eqNullSafe(own[f"_{c}"]) for c in by]).withColumn("d", F.sqrt(far[0] + far[1] + far[2]))
     ranked = placed.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy("d", key))).filter(F.col("rank") <= typical)
     near = ranked.groupBy(*by).agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", key))), lambda x: x[key]).alias("typical"))
-    radius = placed.groupBy(*by, "n_members").agg(F.max("d").alias("radius"))
-    return radius.join(near, by)
+    near = near.withColumnsRenamed({c: f"_{c}" for c in by})
+    sized = placed.groupBy(*by, "n_members").agg(F.max("d").alias("radius"))
+    return sized.join(near, [sized[c].eqNullSafe(near[f"_{c}"]) for c in by]).select(*by, "n_members", "radius", "typical")

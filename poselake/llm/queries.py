@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from ..functions.residues import contact_term, residue_term
 from ..operators.latest import finite, latest_rows
-from ..session import written
 from . import clusters, cooccurrence, cutoff, frequency, mojibake, packing, tokens, topn
 
 #: Contacts of one result have neighbouring ids; so many of them are exchanged together.
@@ -96,40 +95,35 @@ _XYZ = ("x", "y", "z")
 
 
 def _positions(spark: SparkSession, sf: str) -> DataFrame:
-    """(kind, campaign_id, member_id, part, x, y, z): part is what a group needs three of."""
+    """(kind, campaign_id, member_id, part, label, x, y, z): part is what a group needs three of."""
 
-    def one(kind: str, table: str, key: str, position: str, part: str) -> DataFrame:
-        df = latest_rows(_read(spark, sf, table, key, "campaign_id", position, part, "loaded_at").filter(F.col(key).isNotNull()), [key])
+    def one(kind: str, table: str, key: str, position: str, part: str, label: str | None = None) -> DataFrame:
+        df = latest_rows(_read(spark, sf, table, key, "campaign_id", position, part, *[label] * bool(label), "loaded_at").filter(F.col(key).isNotNull()), [key])
         p = F.col(position)
         whole = df.filter(F.size(p) == 3)
-        return whole.select(F.lit(kind).alias("kind"), "campaign_id", F.col(key).alias("member_id"), F.col(part).cast("string").alias("part"), *[finite(F.get(p, i)).alias(c) for i, c in enumerate(_XYZ)]).dropna(subset=list(_XYZ))
+        named = (F.col(label) if label else F.lit(None)).cast("string").alias("label")
+        return whole.select(F.lit(kind).alias("kind"), "campaign_id", F.col(key).alias("member_id"), F.col(part).cast("string").alias("part"), named, *[finite(F.get(p, i)).alias(c) for i, c in enumerate(_XYZ)]).dropna(subset=list(_XYZ))
 
-    return one("centroid", "fragment_centroids", "centroid_id", "centroid", "molecule_name").unionByName(one("hotspot", "hotspots", "hotspot_uid", "center", "run_no"))
+    return one("centroid", "fragment_centroids", "centroid_id", "centroid", "molecule_name", "fragment_label").unionByName(one("hotspot", "hotspots", "hotspot_uid", "center", "run_no"))
 
 
-def _groups(rows: DataFrame, least: int = 3) -> DataFrame:
-    groups = clusters.near_groups(rows, ["kind", "campaign_id"], "member_id", _XYZ)
-    placed = groups.join(rows.select("kind", "member_id", "part"), ["kind", "member_id"])
-    big = placed.groupBy("kind", "first_id").agg(F.countDistinct("part").alias("n_parts")).filter(F.col("n_parts") >= least)
-    return groups.join(big, ["kind", "first_id"])
+def _groups(spark: SparkSession, sf: str) -> DataFrame:
+    return clusters.near_groups(_positions(spark, sf).drop("label"), ["kind", "campaign_id"], "member_id", _XYZ, part="part", least=3)
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
-    return _groups(written(_positions(spark, sf))).select("kind", "first_id", "member_id")
+    return _groups(spark, sf).select("kind", "first_id", "member_id")
 
 
 def p5_groups(spark: SparkSession, sf: str) -> DataFrame:
     """The listed groups by size, radius and most typical members."""
-    rows = written(_positions(spark, sf))
-    listed = _groups(rows)
-    sizes = clusters.typical_members(written(listed.select("kind", "campaign_id", "member_id", "first_id")).filter("campaign_id is not null"), rows, ["kind", "campaign_id"], "member_id", _XYZ)
-    return sizes.withColumn("radius", F.round("radius", 6))
+    return clusters.typical_members(_groups(spark, sf), ["kind", "campaign_id"], "member_id", _XYZ)
 
 
 def p5_clusters(spark: SparkSession, sf: str) -> DataFrame:
-    """k-means clusters of the positions, apart by kind and campaign, by size and most typical members."""
+    """k-means clusters of the positions, apart by kind and campaign, by size and most typical members; equal labels draw together by up to half an Å or so."""
     rows = _positions(spark, sf).withColumn("key", F.concat_ws(":", "kind", F.col("member_id").cast("string")))
-    return clusters.frame_clusters(rows, ["kind", "campaign_id"], "key", _XYZ)
+    return clusters.frame_clusters(rows, ["kind", "campaign_id"], "key", clusters.hashed_features(dict.fromkeys(_XYZ, 1.0), {"label": 0.25}, slots=4))
 
 
 # 6 ------------------------------------------------------------------------------------------------
@@ -252,13 +246,16 @@ e AS MATERIALIZED (SELECT a.kind, a.id AS u, b.id AS v FROM q a JOIN q b ON a.ki
 _P5 = f"""WITH RECURSIVE {_POSITIONS},
 r(kind, root, node) AS (SELECT kind, id, id FROM q UNION SELECT r.kind, r.root, e.v FROM r JOIN e ON e.kind = r.kind AND e.u = r.node),
 g AS (SELECT kind, node AS member_id, min(root) AS first_id FROM r GROUP BY 1, 2),
-b AS (SELECT g.kind, first_id FROM g JOIN q ON q.kind = g.kind AND q.id = g.member_id GROUP BY 1, 2 HAVING count(DISTINCT part) >= 3)
-SELECT kind, first_id, member_id FROM g JOIN b USING (kind, first_id)"""
+b AS (SELECT g.kind, first_id FROM g JOIN q ON q.kind = g.kind AND q.id = g.member_id GROUP BY 1, 2 HAVING count(DISTINCT part) >= 3) """
 
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "p5_found": _P5,
+        "p5_found": _P5 + "SELECT kind, first_id, member_id FROM g JOIN b USING (kind, first_id)",
+        "p5_groups": _P5 + """, m AS (SELECT q.*, first_id FROM g JOIN b USING (kind, first_id) JOIN q ON q.kind = g.kind AND q.id = g.member_id),
+c AS (SELECT kind, first_id, avg(x) AS cx, avg(y) AS cy, avg(z) AS cz FROM m GROUP BY 1, 2),
+d AS (SELECT m.*, sqrt((x - cx) ** 2 + (y - cy) ** 2 + (z - cz) ** 2) AS d FROM m JOIN c USING (kind, first_id))
+SELECT kind, campaign_id, first_id, count(*) AS n_members, max(d) AS radius, list(id ORDER BY round(d, 9), id)[1:3] AS typical FROM d GROUP BY ALL""",
         "p1_terms": _P1 + "SELECT * FROM m",
         "p1_found": _P1 + "SELECT field_name, term, mark FROM m WHERE mark IS NOT NULL",
         "p2_cutoffs": _P2 + "SELECT n.source_file, n.score_name, t.target_percent, b.cutoff, n.n_total, coalesce(c.n_kept, 0) AS n_kept, coalesce(c.n_tied, 0) AS n_tied "

@@ -153,24 +153,36 @@ def test_near_groups_against_brute_force(spark):
     p = np.round(np.concatenate([rng.uniform(-12, 12, (250, 3)), np.zeros((40, 3)), [[0, 0, 2.0], [1.2, 1.6, 2.0]]]), 3)
     data = [("a" if i % 7 else "b", i, *map(float, x)) for i, x in enumerate(p)] + [("a", 900, NAN, 0.0, 0.0), ("a", 901, None, 0.0, 0.0), (None, 902, 0.0, 0.0, 0.0), (None, 903, 0.5, 0.0, 0.0)]
     df = spark.createDataFrame([(*r, "x") for r in data], "space string, id int, x double, y double, z double, node string")
-    for k in (1, 12):
-        got = {r.id: r.first_id for r in clusters.near_groups(df, ["space"], "id", ("x", "y", "z"), 2.0, k=k).collect()}
-        for s in "ab":
-            ids = np.array([i for t, i, *_ in data if t == s and i < 900])
-            want = ids[_chains(p[ids], 2.0)]
-            assert [got[int(i)] for i in ids] == want.tolist()
-        assert got[902] == got[903] == 902 and 900 not in got and 901 not in got
+    got = {r.id: r.first_id for r in clusters.near_groups(df, ["space"], "id", ("x", "y", "z"), 2.0).collect()}
+    for s in "ab":
+        ids = np.array([i for t, i, *_ in data if t == s and i < 900])
+        want = ids[_chains(p[ids], 2.0)]
+        assert [got[int(i)] for i in ids] == want.tolist()
+    assert got[902] == got[903] == 902 and 900 not in got and 901 not in got
+    far = spark.createDataFrame([("a", 1, 0.0, 0.0, 0.0), ("a", 2, 10.0, 0.0, 0.0), ("a", 3, 50.0, 3.0, 1.0), ("a", 4, -1e20, 0.0, 0.0)], "space string, id int, x double, y double, z double")
+    assert {r.id: r.first_id for r in clusters.near_groups(far, ["space"], "id", ("x", "y", "z")).collect()} == {1: 1, 2: 2, 3: 3, 4: 4}
     assert clusters.near_groups(df.limit(0), ["space"], "id", ("x", "y", "z")).count() == 0
 
 
-def test_kmeans_finds_separate_blobs(spark):
+def test_kmeans_finds_separate_blobs(spark, monkeypatch):
+    monkeypatch.setattr(clusters, "PART", 7)  # every space is dealt to several tasks
     rng = np.random.default_rng(7)
-    p = np.concatenate([rng.normal(c, 0.2, (60, 3)) for c in ((0, 0, 0), (20, 0, 0), (0, 20, 0))])
-    df = spark.createDataFrame([(i, *map(float, x)) for i, x in enumerate(p)] + [(999, None, 0.0, 0.0)], "id int, x double, y double, z double")
-    vector = clusters.hashed_features({"x": 1.0, "y": 1.0, "z": 1.0}, {})
-    got = clusters.kmeans_clusters(df.withColumn("cluster", F.lit("clash")), "id", vector, 3).collect()
-    assert sorted(r.n_members for r in got) == [60, 60, 60] and all(len(r.typical) == 3 and len({i // 60 for i in r.typical}) == 1 for r in got)
-    assert clusters.kmeans_clusters(df.limit(0), "id", vector, 3).count() == 0
+    p = np.concatenate([rng.normal(c, 0.2, (6, 3)) for c in ((0, 0, 0), (20, 0, 0), (0, 20, 0))] + [np.zeros((5, 3))] * 2)
+    data = [("a" if i < 23 else None, i, *map(float, x)) for i, x in enumerate(p)] + [("a", 999, None, 0.0, 0.0), ("a", 998, INF, 0.0, 0.0)]
+    df = spark.createDataFrame(data, "space string, id int, x double, y double, z double").withColumn("frame", F.lit("clash"))
+    got = clusters.frame_clusters(df, ["space"], "id", clusters.hashed_features({"x": 1.0, "y": 1.0, "z": 1.0}, {}, 0)).collect()
+    a = [r for r in got if r.space == "a"]
+    assert sum(r.n_members for r in a) == 23 and len(a) == 4 and max(r.radius for r in a) < 2  # k = ceil(sqrt(23 / 2)); none spans two blobs
+    assert [(r.n_members, r.radius, r.typical) for r in got if r.space is None] == [(5, 0.0, [23, 24, 25])]
+    again = clusters.frame_clusters(df.repartition(3), ["space"], "id", clusters.hashed_features({"x": 1.0, "y": 1.0, "z": 1.0}, {}, 0)).collect()
+    assert sorted(map(str, again)) == sorted(map(str, got))
+    assert clusters.frame_clusters(df.limit(0), ["space"], "id", F.array("x")).count() == 0
+
+
+def test_typical_members(spark):
+    df = spark.createDataFrame([(s, i, float(i % 5), 0.0, 0.0, f) for s, f, n in (("a", 1, 9), (None, 3, 4)) for i in range(n)], "space string, id int, x double, y double, z double, first_id int")
+    got = {r.first_id: r for r in clusters.typical_members(df, ["space"], "id", ("x", "y", "z")).collect()}
+    assert (got[1].n_members, got[1].typical) == (9, [2, 7, 1]) and got[3].space is None and got[3].typical == [1, 2, 0]
 
 
 # 6 -----------------------------------------------------------------------------------------------

@@ -187,7 +187,7 @@ def near_groups(df: DataFrame, space: list[str], key: str, xyz: tuple[str, str,
     for c in xyz:
         ok = ok & F.col(c).isNotNull() & ~F.isnan(c) & (F.abs(c) != float("inf"))
     name = F.to_json(F.struct(*space), {"ignoreNullFields": "false"})
-    rows = df.filter(ok).select(name.alias("name"), F.struct(*space).alias("space"), F.col(key).alias("node"), *[F.col(part).alias("part")] * bool(part), *[(F.col(c).cast("double") + F.lit(0.0)).alias(a) for c, a in zip(xyz, "xyz")])
+    rows = df.filter(ok).select(name.alias("name"), F.struct(*space).alias("space"), F.col(key).alias("node"), *([F.col(part).alias("part")] if part else []), *[(F.col(c).cast("double") + F.lit(0.0)).alias(a) for c, a in zip(xyz, "xyz")])
     rows = written(rows)
     labels = written(link_near(rows, reach))
     placed = rows.withColumns(cells(reach)).join(labels, ["name", *CELL])

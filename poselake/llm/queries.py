@@ -98,7 +98,7 @@ def _positions(spark: SparkSession, sf: str) -> DataFrame:
     """(kind, campaign_id, member_id, part, label, x, y, z): part is what a group needs three of."""
 
     def one(kind: str, table: str, key: str, position: str, part: str, label: str | None = None) -> DataFrame:
-        df = latest_rows(_read(spark, sf, table, key, "campaign_id", position, part, *[label] * bool(label), "loaded_at").filter(F.col(key).isNotNull()), [key])
+        df = latest_rows(_read(spark, sf, table, key, "campaign_id", position, part, *([label] if label else []), "loaded_at").filter(F.col(key).isNotNull()), [key])
         p = F.col(position)
         whole = df.filter(F.size(p) == 3)
         named = (F.col(label) if label else F.lit(None)).cast("string").alias("label")

@@ -123,8 +123,11 @@ def test_pairs_against_counting(spark, segment, monkeypatch):
     for b in baskets:
         single.update(b)
         both.update(combinations(b, 2))
-    cells = {(r.item, n): c for r in cooccurrence.stripes(df.filter(F.size("items") > 0), segment).groupBy("item").agg(F.flatten(F.collect_list(F.arrays_zip("neighbours", "counts"))).alias("z")).collect() for n, c in Counter({x.neighbours: 0 for x in r.z}).items()}
-    assert set(cells) >= set(both)
+    monkeypatch.setattr(cooccurrence, "WIDE", 2)
+    whole = cooccurrence.merged_stripes(cooccurrence.stripes(df.filter(F.size("items") > 0), segment).repartition(5)).collect()
+    cells = Counter({(r.item, n): c for r in whole for n, c in zip(r.neighbours, r.counts)})
+    assert sum(len(r.neighbours) for r in whole) == len(cells)  # every neighbour once
+    assert {k: c for k, c in cells.items() if k[0] < k[1] and k[0]} == dict(both)
     got = {(r.item_a, r.item_b): r for r in cooccurrence.item_pairs(df).collect()}
     n = sum(bool(b) for b in baskets)
     assert {k: r.n for k, r in got.items()} == dict(both)

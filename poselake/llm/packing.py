@@ -8,7 +8,7 @@ from collections import defaultdict
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
@@ -66,52 +66,99 @@ def fill_containers(sizes: DataFrame, capacities: dict[int, int], key: str = "do
     capacity; non-positive capacities are an error). An item within the capacity is one piece; a larger one
     is cut into full pieces and a rest, which is packed like any item. Items of null or zero size take no
     space: they are dealt evenly over the containers in use (to container 0 if there are none). Which of
-    several items of one length gets which planned slot follows the order of the input's partitions.
+    several pieces of one length gets which planned slot: whole items first, then rests by their items' size, each by ``key``.
 
-    The lengths' histogram, at most ``capacity + 1`` rows a kind, is all the driver sees. Ranks within a length are
-    counted in each partition and shifted by the counts of the partitions before, so a length that a third
-    of all items share is no task's burden.
+    One exchange, of key and size: items are range-partitioned and sorted by both, so an item's rank among
+    those of its size is its place in the partition plus the counts of the partitions before; a size that a third
+    of all items share is spread by the keys. The ranks of pieces follow from it by the histogram alone. The histogram
+    is what the driver sees and sends: a row for each size there is, and one more for each partition. As m different sizes add up to m * m / 2
+    at least, there are no more than sqrt(2 * total).
     """
     if not capacities or any(c is None or c <= 0 for c in capacities.values()):
         raise ValueError("capacities must be positive")
-    kinds = sorted(capacities)
-    key_type = sizes.schema[key].dataType
-    pieces = sizes.select(key, F.coalesce(F.col(size).cast("long"), F.lit(0).cast("long")).alias("n")).mapInArrow(
-        _pieces(key, kinds, capacities), f"container_id int, `{key}` {key_type.simpleString()}, piece_no int, size_from bigint, size_of bigint, part int, rank bigint"
-    )
-    pieces = written(pieces)
-    counts = pieces.groupBy("container_id", "size_of", "part").agg(F.count(F.lit(1)).alias("n"))
-    before = Window.partitionBy("container_id", "size_of").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = written(counts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0).cast("long"))))
-    histogram: dict[int, dict[int, int]] = {k: {} for k in kinds}
-    for kind, length, n in counts.groupBy("container_id", "size_of").agg(F.sum("n")).collect():  # bounded by the capacities
-        histogram[kind][length] = n
-    plans = {k: plan(histogram[k], capacities[k]) for k in kinds}
-    ranked = pieces.join(counts.drop("n"), ["container_id", "size_of", "part"]).select("container_id", key, "piece_no", "size_from", "size_of", (F.col("rank") + F.col("base")).alias("rank"))
-    slots = sizes.sparkSession.sparkContext.broadcast(plans)  # bounded by plan()
-    return ranked.mapInArrow(_assign(key, slots), f"container_id int, bin_no bigint, `{key}` {key_type.simpleString()}, piece_no int, size_from bigint, size_of bigint")
-
-
-def _running(values: np.ndarray, counter: np.ndarray) -> np.ndarray:
-    """Rank of each value among equal ones, going on from ``counter``, which is moved on."""
-    order = np.argsort(values, kind="stable")
-    s = values[order]
-    starts = np.flatnonzero(np.r_[True, s[1:] != s[:-1]]) if len(s) else np.empty(0, np.int64)
-    runs = np.diff(np.r_[starts, len(s)])
-    rank = np.empty(len(s), np.int64)
-    rank[order] = np.arange(len(s)) - np.repeat(starts, runs) + counter[s]
-    counter[s[starts]] += runs
+    kind = sizes.schema[key].dataType.simpleString()
+    rows = written(sizes.select(key, F.greatest(F.coalesce(F.col(size).cast("long"), F.lit(0)), F.lit(0)).cast("long").alias("n")))
+    in_order = rows.repartitionByRange("n", key).sortWithinPartitions("n", key)
+    ranked = written(in_order.mapInArrow(_rank(key), f"`{key}` {kind}, n bigint, part int, rank bigint"))
+    counts = ranked.groupBy("n", "part").agg(F.max("rank").alias("last")).orderBy("n", "part").toPandas()  # bounded, see above
+    shared = sizes.sparkSession.sparkContext.broadcast(Slots(*(counts[c].to_numpy(np.int64) for c in ("n", "part", "last")), capacities))
+    return ranked.mapInArrow(_assign(key, shared), f"container_id int, bin_no bigint, `{key}` {kind}, piece_no int, size_from bigint, size_of bigint")
+
+
+class Slots:
+    """Plans of all container kinds, and where the ranks of each size's pieces begin."""
+
+    def __init__(self, n: np.ndarray, part: np.ndarray, last: np.ndarray, capacities: dict[int, int]):
+        held = last + 1
+        self.parts = int(part.max(initial=0)) + 1
+        self.code = n * self.parts + part
+        first = np.flatnonzero(np.r_[True, n[1:] != n[:-1]]) if len(n) else np.empty(0, np.int64)
+        before = np.cumsum(held) - held
+        self.base = before - np.repeat(before[first], np.diff(np.r_[first, len(n)]))
+        self.sizes = n[first]
+        count = np.add.reduceat(held, first) if len(n) else held
+        self.kinds = {k: self._kind(count, c) for k, c in sorted(capacities.items())}
+
+    def _kind(self, count: np.ndarray, capacity: int):
+        """(capacity, full_from, rest_from, rows, codes, containers): ranks of the first full piece and the first rest of each size."""
+        large = self.sizes > capacity
+        lengths: dict[int, int] = dict(zip(self.sizes[~large].tolist(), count[~large].tolist()))
+        full = np.where(large, count * (self.sizes // capacity), 0)
+        full_from = lengths.get(capacity, 0) + np.cumsum(full) - full
+        if large.any():
+            lengths[capacity] = lengths.get(capacity, 0) + int(full.sum())
+        rest_from = np.zeros(len(count), np.int64)
+        for i in np.flatnonzero(large & (self.sizes % capacity > 0)).tolist():
+            rest = int(self.sizes[i]) % capacity
+            rest_from[i] = lengths.get(rest, 0)
+            lengths[rest] = lengths.get(rest, 0) + int(count[i])
+        rows, n_bins = plan(lengths, capacity)
+        rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+        return capacity, full_from, rest_from, rows, rows[:, 0] * (1 << 44) + rows[:, 1], n_bins
+
+    def ranks(self, n: np.ndarray, part: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        return rank + self.base[np.searchsorted(self.code, n * self.parts + part)]
+
+    def place(self, kind: int, n: np.ndarray, rank: np.ndarray, no: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Size and container of piece ``no`` of each item."""
+        capacity, full_from, rest_from, rows, code, n_bins = self.kinds[kind]
+        size = np.minimum(n - no * capacity, capacity)
+        at = np.searchsorted(self.sizes, n)
+        pieces = n // capacity
+        rank = np.where(n <= capacity, rank, np.where(no < pieces, full_from[at] + rank * pieces + no, rest_from[at] + rank))
+        bin_no = rank % max(n_bins, 1)  # of items without a size
+        some = np.flatnonzero(size > 0)
+        row = rows[np.searchsorted(code, size[some] * (1 << 44) + rank[some], side="right") - 1]
+        bin_no[some] = row[:, 2] + (rank[some] - row[:, 1]) // row[:, 3]
+        return size, bin_no
+
+
+def _rank(key: str):
+    def rank(batches):
+        part = TaskContext.get().partitionId()
+        last, at = None, 0  # the size that went before, and how many of it
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            n = batch.column("n").to_numpy()
+            starts = np.flatnonzero(np.r_[True, n[1:] != n[:-1]])
+            runs = np.diff(np.r_[starts, len(n)])
+            out = np.arange(len(n)) - np.repeat(starts, runs)
+            if n[0] == last:
+                out[: runs[0]] += at
+            last, at = n[-1], int(out[-1]) + 1
+            yield pa.RecordBatch.from_arrays([batch.column(key), batch.column("n"), pa.array(np.full(len(n), part, np.int32)), pa.array(out)], [key, "n", "part", "rank"])
+
     return rank
 
 
-def _pieces(key: str, kinds: list[int], capacities: dict[int, int]):
-    def cut_up(batches):
-        part = TaskContext.get().partitionId()
-        counters = {k: np.zeros(capacities[k] + 1, np.int64) for k in kinds}
+def _assign(key: str, shared):
+    def assign(batches):
+        slots = shared.value
         for batch in batches:
-            n = np.maximum(batch.column("n").to_numpy(), 0)
-            for kind in kinds:
-                capacity = capacities[kind]
+            n = batch.column("n").to_numpy()
+            rank = slots.ranks(n, batch.column("part").to_numpy().astype(np.int64), batch.column("rank").to_numpy())
+            for kind, (capacity, *_) in slots.kinds.items():
                 count = np.maximum(-(-n // capacity), 1)
                 ends = np.cumsum(count)
                 a = 0
@@ -119,34 +166,11 @@ def _pieces(key: str, kinds: list[int], capacities: dict[int, int]):
                     b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + 1_000_000, side="right")))
                     at = np.repeat(np.arange(a, b), count[a:b])
                     no = np.arange(len(at)) - np.repeat(np.cumsum(count[a:b]) - count[a:b], count[a:b])
-                    size = np.minimum(n[at] - no * capacity, capacity)
-                    m = len(at)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(m, kind, np.int32)), batch.column(key).take(pa.array(at)), pa.array(no.astype(np.int32)), pa.array(no * capacity), pa.array(size), pa.array(np.full(m, part, np.int32)), pa.array(_running(size, counters[kind]))],
-                        ["container_id", key, "piece_no", "size_from", "size_of", "part", "rank"],
-                    )
+                    size, bin_no = slots.place(kind, n[at], rank[at], no)
+                    columns = [np.full(len(at), kind, np.int32), bin_no, batch.column(key).take(pa.array(at)), no.astype(np.int32), no * capacity, size]
+                    yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], ["container_id", "bin_no", key, "piece_no", "size_from", "size_of"])
                     a = b
 
-    return cut_up
-
-
-def _assign(key: str, slots):
-    def assign(batches):
-        tables = {}
-        for kind, (rows, n_bins) in slots.value.items():
-            rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
-            tables[kind] = (rows, rows[:, 0] * (1 << 44) + rows[:, 1], n_bins)
-        for batch in batches:
-            kind, size, rank = (batch.column(c).to_numpy() for c in ("container_id", "size_of", "rank"))
-            bin_no = np.zeros(len(kind), np.int64)
-            for k, (rows, code, n_bins) in tables.items():
-                none = (kind == k) & (size == 0)
-                bin_no[none] = rank[none] % max(n_bins, 1)
-                some = np.flatnonzero((kind == k) & (size > 0))
-                row = rows[np.searchsorted(code, size[some] * (1 << 44) + rank[some], side="right") - 1]
-                bin_no[some] = row[:, 2] + (rank[some] - row[:, 1]) // row[:, 3]
-            yield pa.RecordBatch.from_arrays([batch.column("container_id"), pa.array(bin_no), *[batch.column(c) for c in (key, "piece_no", "size_from", "size_of")]], ["container_id", "bin_no", key, "piece_no", "size_from", "size_of"])
-
     return assign
 
 

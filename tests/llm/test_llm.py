@@ -272,6 +272,8 @@ def test_filling(spark):
         for i, n in sizes:
             own = sorted(pieces[i])
             assert sum(s for _, _, s in own) == (n or 0) and len(own) == max(1, -(-(n or 0) // cap)) and [f for _, f, _ in own] == [k * cap for k in range(len(own))]
+    other = packing.fill_containers(df.repartition(7), caps).collect()  # the same, however the rows came in
+    assert sorted(map(tuple, other), key=str) == sorted(map(tuple, got), key=str)
     s = {r.container_id: r for r in packing.container_summary(packing.fill_containers(df, caps), caps).collect()}
     assert s[2].n_bins >= s[2].least_bins and s[2].fullest <= 64
     assert packing.fill_containers(df.limit(0), caps).count() == 0

@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut
+from ..session import cut, written
 
 
 def term_pairs(df: DataFrame, fields: dict[str, Column], record: Column, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -38,7 +38,7 @@ def term_frequencies(pairs: DataFrame, rare_below: int = 5, common_percent: int
     occurrence only. An empty table gives no rows. ``share`` is null if there are no records.
     """
     order = ["field", "term", "record"]
-    in_order = pairs.repartitionByRange(*order).sortWithinPartitions(*order)
+    in_order = written(pairs).repartitionByRange(*order).sortWithinPartitions(*order)  # read twice: for the ranges, and to send
     runs = in_order.select(*order, "n").mapInArrow(_scan_runs, "field string, term string, n_occurrences bigint, n_records bigint")
     per_term = cut(runs.groupBy("field", "term").agg(F.sum("n_occurrences").alias("n_occurrences"), F.sum("n_records").alias("n_records")))
     total = per_term.filter(F.col("field").isNull()).agg(F.coalesce(F.sum("n_records"), F.lit(0)).alias("n_all"))

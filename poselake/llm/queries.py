@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.residues import contact_term, residue_term
 from ..operators.latest import finite, latest_rows
+from ..session import written
 from . import clusters, cooccurrence, cutoff, frequency, mojibake, packing, tokens, topn
 
 #: Contacts of one result have neighbouring ids; so many of them are exchanged together.
@@ -44,7 +45,7 @@ def _scores(spark: SparkSession, sf: str) -> DataFrame:
     df = _read(spark, sf, "cross_engine_ranking", "source_file", "name", *SCORES, "loaded_at").filter("source_file is not null")
     df = latest_rows(df, ["source_file", "name"])
     pairs = F.inline(F.array(*[F.struct(F.lit(s).alias("score_name"), finite(s).alias("score")) for s in SCORES]))
-    return df.select(F.col("source_file").alias("source"), "name", pairs).filter("score is not null")
+    return written(df.select(F.col("source_file").alias("source"), "name", pairs).filter("score is not null"))  # read three times
 
 
 def _cutoffs(spark: SparkSession, sf: str, scores: DataFrame) -> DataFrame:

@@ -73,7 +73,10 @@ def test_cutoffs_against_sorting(spark):
     assert cutoff.score_cutoffs(scores.limit(0), wanted).count() == 0
 
 
-def test_cutoffs_when_the_sketch_misses(spark):
+@pytest.mark.parametrize("in_order", [3, 100_000])
+def test_cutoffs_when_the_sketch_misses(spark, in_order, monkeypatch):
+    monkeypatch.setattr(cutoff, "IN_ORDER", in_order)  # 3: bins narrow the scores down first
+    monkeypatch.setattr(cutoff, "BINS", 5)
     scores = spark.createDataFrame([("a", "s", float(i % 500)) for i in range(5000)], "source string, score_name string, score double")
     for target in (0, 33, 100, 120):
         wanted = spark.createDataFrame([("a", "s", target)], "source string, score_name string, target_percent int")

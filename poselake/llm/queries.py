@@ -172,10 +172,14 @@ def p8_restored(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p8_ciphers(spark: SparkSession, sf: str) -> DataFrame:
-    """The swaps learned for each source: the share garbled of the runs that each can have made."""
-    learned, pairs = mojibake.learn(_texts(spark, sf)), mojibake.swaps()
-    rows = [(s, *pairs[k], float(w)) for s, weights in learned.weights.items() for k, w in sorted(weights.items())]
-    return spark.createDataFrame(rows, "source string, shown string, meant string, weight double")
+    """The swaps learned for each source (null: for all): the share garbled of the runs that each can have made; ``page`` is a page of the source's own."""
+    learned = mojibake.learn(_texts(spark, sf))
+    schema = "source string, shown string, meant string, weight double, page string"
+    pairs = F.broadcast(spark.createDataFrame([(str(k), *p) for k, p in enumerate(mojibake.swaps())], "k string, shown string, meant string"))  # a row for each swap
+    own = learned.own.select("source", F.explode(F.from_json(F.get_json_object("own", "$.weights"), "map<string,double>")).alias("k", "weight")).join(pairs, "k").select("source", "shown", "meant", "weight", F.lit(None).cast("string").alias("page"))
+    pages = learned.own.select("source", F.lit("own").alias("shown"), F.lit("utf_8").alias("meant"), F.lit(None).cast("double").alias("weight"), F.get_json_object("own", "$.page").alias("page")).filter("page is not null")
+    general = spark.createDataFrame([(None, *mojibake.swaps()[k], float(w), None) for k, w in sorted(learned.general.items())], schema)
+    return own.unionByName(pages).unionByName(general)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

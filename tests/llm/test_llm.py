@@ -321,6 +321,52 @@ def test_mojibake_held_out_accuracy(spark):
     assert not any(got[i].garbled for i in (1000, 1001, 1002, 1003, 1004))
 
 
+RUSSIAN = "молекула связь энергия белок остаток лиганд позиция расчёт данные кислород сильная цепь поверхность атомы объём результат".split()
+
+
+def _shown(text, page):
+    return "".join(c if b is None else _one(b, page) for c, b in ((c, None) if c.isascii() else ("", x) for c in text for x in ([None] if c.isascii() else c.encode())))
+
+
+def _one(b, page):
+    try:
+        return bytes([b]).decode(page)
+    except UnicodeDecodeError:
+        return chr(b)
+
+
+@pytest.mark.parametrize(("page", "words"), [("cp852", [w for w in WORDS if max(w) < "\u0800"]), ("cp1257", RUSSIAN)])
+def test_a_page_that_is_not_listed_is_learned(spark, page, words):
+    assert page not in mojibake.SHOWN
+    rnd = random.Random(10)
+    docs, truth = [], {}
+    for i in range(700):
+        text = " ".join(rnd.choice([*words, "pose", "12", "the"]) for _ in range(15))
+        source = rnd.choice(["a", "b", None])
+        if source == "b" and rnd.random() < 0.15:
+            truth[i], text = text, _shown(text, page)
+        docs.append((i, text, source))
+    df = spark.createDataFrame(docs, "doc_id int, text string, source string").repartition(3)
+    learned = mojibake.learn(df)
+    assert [r.source for r in learned.own.filter("own like '%\"page\"%'").collect()] == ["b"]
+    got = {r.doc_id: r for r in mojibake.repair(df, learned=learned).collect()}
+    found = {i for i, r in got.items() if r.garbled}
+    assert found <= set(truth) and len(found) >= 0.95 * len(truth)
+    right = sum(x == y for i in found for x, y in zip(got[i].restored.split(), truth[i].split()) if not y.isascii())
+    assert right >= 0.9 * sum(not w.isascii() for i in truth for w in truth[i].split())  # signs met too rarely stay
+
+
+def test_a_long_run_counts_to_its_end():
+    """The restored characters must all be known, those after the first eight, too."""
+    counts = defaultdict(float)
+    for w in RUSSIAN * 50:
+        mojibake._count_ngrams("\n " + w + " \n", 1.0, counts)
+    model = mojibake.Bigrams((np.array(list(counts)), np.array(list(counts.values()), np.float32)))
+    pairs = [(0, ("cp1252", "utf_8"))]
+    good, bad = "молекуласвязь", "молекуласвязьҖ"
+    assert mojibake.candidates("\n ", _shown(good, "cp1252"), " \n", model, pairs) and not mojibake.candidates("\n ", _shown(bad, "cp1252"), " \n", model, pairs)
+
+
 @pytest.mark.parametrize("shown", mojibake.SHOWN)
 @pytest.mark.parametrize("meant", ["utf_8", "cp1252", "cp1251"])
 def test_restore_is_the_inverse(shown, meant):

@@ -376,10 +376,11 @@ def learn(df: DataFrame, text: str = "text", source: str = "source", rounds: int
     full = schema + ", restored string, belief double"
     counts = _language(table.mapInArrow(_first_guess, full))
     general = {k: 0.5 if p[1].startswith("utf_8") and p != STRIPPED else 1e-4 for k, p in enumerate(swaps())}
-    own = spark.createDataFrame([], "source string, own string")
+    own = None
     for _ in range(rounds):
         shared = context.broadcast((counts, general))
-        scored = written(_with_own(table, own, "source").mapInArrow(_expect(shared), full + ", swap int, fits array<int>"))
+        weighted = table.withColumn("own", F.lit(None).cast("string")) if own is None else _with_own(table, own, "source")
+        scored = written(weighted.mapInArrow(_expect(shared), full + ", swap int, fits array<int>"))
         shared.destroy()
         counts = _language(scored)
         before, (general, own) = general, _maximize(scored)
@@ -451,7 +452,7 @@ LEAD_WINDOWS, LEAD_FOLLOWERS, KEY_GAIN = 6, 3, 20.0
 PART = 20_000
 
 
-def learned_pages(scored: DataFrame, counts: Counts, rounds: int = 12) -> DataFrame | None:
+def learned_pages(scored: DataFrame, counts: Counts, rounds: int = 6) -> DataFrame | None:
     """(source, page): for sources whose text shows UTF-8 in a page that isn't listed, the page as learned; None if there is none.
 
     Such text is a substitution cipher: every byte from 80 on stands as one character, the same throughout a source. The
@@ -460,8 +461,8 @@ def learned_pages(scored: DataFrame, counts: Counts, rounds: int = 12) -> DataFr
     follow each other and their neighbours as the bigram model says. EM (forward-backward, Baum-Welch): the posterior of every
     letter at every place, then P(character | byte) from the expected counts, started from the listed pages as a prior.
     Runs with characters of three bytes are not read by it.
-    A page is kept if its characters have one byte each, and what its reading gains in likelihood outweighs
-    the cost of its key, log 64 for every character. Rows per source are dealt to tasks; expected counts are summed up by character and byte.
+    A page is kept if its characters have one byte each, and what its reading gains in likelihood next to letters outweighs
+    the cost of its key, log 64 for every character: a unit behind a number, such as Å³, is no cipher text. Rows per source are dealt to tasks; expected counts are summed up by character and byte.
     """
     spark = scored.sparkSession
     windows = scored.filter((F.col("belief") < 0.5) & (F.length("run") % 2 == 0) & (F.length("run") > 0)).select("source", "left", "run", "right", "n")
@@ -601,9 +602,9 @@ def _gains(shared):
             got = translated(r, table)
             weight += n
             if got is not None and all(map(model.knows, set(got))):
-                gain += n * (model.score(before + got + after) - model.score(before + r + after))
+                gain += 0 if not (before[-1].isalpha() or after[0].isalpha()) else n * (model.score(before + got + after) - model.score(before + r + after))
                 read += n
-        some = bool(texts and page)
+        some = bool(texts) and len(page) > LEAD_FOLLOWERS
         name = [left.column("name")[0].as_py()] if some else []
         text = [json.dumps(dict(sorted(page.items())), ensure_ascii=False)] if some else []
         return pa.table({"name": pa.array(name, pa.string()), "page": pa.array(text, pa.string()), **{k: pa.array([v] if some else [], pa.float64()) for k, v in (("gain", gain), ("read", read), ("n", weight))}})

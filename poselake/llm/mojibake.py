@@ -602,7 +602,7 @@ def _gains(shared):
             got = translated(r, table)
             weight += n
             if got is not None and all(map(model.knows, set(got))):
-                gain += 0 if not (before[-1].isalpha() or after[0].isalpha()) else n * (model.score(before + got + after) - model.score(before + r + after))
+                gain += 0 if not (len(got) > 1 or before[-1].isalpha() or after[0].isalpha()) else n * (model.score(before + got + after) - model.score(before + r + after))
                 read += n
         some = bool(texts) and len(page) > LEAD_FOLLOWERS
         name = [left.column("name")[0].as_py()] if some else []

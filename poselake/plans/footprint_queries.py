@@ -96,22 +96,22 @@ t AS (SELECT CASE WHEN flat = '' THEN NULL WHEN regexp_matches(flat, '^[A-Z]+ ?0
 m AS (SELECT * FROM t WHERE residue IS NOT NULL)"""
 
 SQL = {
-    "footprint_summary": f"WITH {_F} SELECT name, pose_id, round(sum(vdw), 9) AS total_vdw, round(sum(es), 9) AS total_es, round(sum(total), 9) AS total_energy, count(*) AS n_residues_total, count(*) FILTER (total < -0.5) AS n_residues_contributing FROM f GROUP BY 1, 2",
+    "footprint_summary": f"WITH {_F} SELECT name, pose_id, round(sum(vdw), @9) AS total_vdw, round(sum(es), @9) AS total_es, round(sum(total), @9) AS total_energy, count(*) AS n_residues_total, count(*) FILTER (total < -0.5) AS n_residues_contributing FROM f GROUP BY 1, 2",
     "footprint_best_pose": f"WITH {_F}, s AS (SELECT name, pose_id, min(total) AS fps_score, count(*) AS n FROM f GROUP BY 1, 2) SELECT name, pose_id, n, fps_score FROM s QUALIFY row_number() OVER (PARTITION BY name ORDER BY fps_score, pose_id) = 1",
-    "residue_consistency": f"WITH {_CONSISTENT} SELECT name, residue_id, n_favorable, n_poses, min_total, max_total, round(mean_total, 9) AS mean_total, round(std_total, 9) AS std_total, round(mean_vdw, 9) AS mean_vdw, round(mean_es, 9) AS mean_es, round(consistency, 9) AS consistency FROM c",
-    "weighted_consistency": f"WITH {_CONSISTENT}, w AS (SELECT name, round(mean_total, 9) AS m, consistency AS k, abs(round(mean_total, 9)) > 0.5 AND round(mean_total, 9) < 0 AS s FROM c) SELECT name, round(coalesce(sum(abs(m) * k) FILTER (s) / sum(abs(m)) FILTER (s), 0), 9) AS weighted_consistency, count(*) FILTER (s) AS n_significant, count(*) FILTER (s AND k > 0.5) AS n_consistent FROM w GROUP BY 1",
-    "residue_consensus": f"WITH {_CONSENSUS.format(cutoff=-0.5)} SELECT residue_id, n_molecules, n_contributing, min_total, max_total, ref_vdw, ref_es, round(mean_vdw, 9) AS mean_vdw, round(mean_es, 9) AS mean_es, round(mean_total, 9) AS mean_total, round(std_total, 9) AS std_total, round(n_molecules / n_all, 9) AS frac_present, round(n_contributing / n_all, 9) AS frac_contributing FROM c, a",
+    "residue_consistency": f"WITH {_CONSISTENT} SELECT name, residue_id, n_favorable, n_poses, min_total, max_total, round(mean_total, @9) AS mean_total, round(std_total, @9) AS std_total, round(mean_vdw, @9) AS mean_vdw, round(mean_es, @9) AS mean_es, round(consistency, @9) AS consistency FROM c",
+    "weighted_consistency": f"WITH {_CONSISTENT}, w AS (SELECT name, round(mean_total, @9) AS m, consistency AS k, abs(round(mean_total, @9)) > 0.5 AND round(mean_total, @9) < 0 AS s FROM c) SELECT name, round(coalesce(sum(abs(m) * k) FILTER (s) / sum(abs(m)) FILTER (s), 0), @9) AS weighted_consistency, count(*) FILTER (s) AS n_significant, count(*) FILTER (s AND k > 0.5) AS n_consistent FROM w GROUP BY 1",
+    "residue_consensus": f"WITH {_CONSENSUS.format(cutoff=-0.5)} SELECT residue_id, n_molecules, n_contributing, min_total, max_total, ref_vdw, ref_es, round(mean_vdw, @9) AS mean_vdw, round(mean_es, @9) AS mean_es, round(mean_total, @9) AS mean_total, round(std_total, @9) AS std_total, round(n_molecules / n_all, @9) AS frac_present, round(n_contributing / n_all, @9) AS frac_contributing FROM c, a",
     "pharmacophore_residues": f"WITH {_CONSENSUS.format(cutoff=-1.0)} SELECT residue_id, n_contributing, min_total FROM c, a WHERE n_contributing / n_all >= 0.8",
     "reference_deltas": f"WITH {_F} SELECT residue_id, count(*) AS n, round(min(total - ref_total), 6) AS min_delta, round(max(total - ref_total), 6) AS max_delta FROM f WHERE abs(total - ref_total) > 2.5 GROUP BY 1",
-    "residue_importance": f"WITH {_CONSENSUS.format(cutoff=-0.5)} SELECT residue_id, n_molecules, round(n_molecules * abs(mean_total), 9) AS importance FROM c ORDER BY n_molecules * abs(mean_total) DESC, residue_id LIMIT 20",
+    "residue_importance": f"WITH {_CONSENSUS.format(cutoff=-0.5)} SELECT residue_id, n_molecules, round(n_molecules * abs(mean_total), @9) AS importance FROM c ORDER BY n_molecules * abs(mean_total) DESC, residue_id LIMIT 20",
     "contact_vs_footprint": f"""WITH {_F}, k AS (SELECT l_suppkey AS name, p_brand AS residue_id, min(l_quantity) + 2.0 AS min_distance FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_quantity <= 3 GROUP BY 1, 2),
 e AS (SELECT name, residue_id, pose_id, min(vdw) AS vdw, min(es) AS es, min(total) AS total FROM f GROUP BY 1, 2, 3), o AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY name, residue_id ORDER BY pose_id) = 1),
 u AS (SELECT k.name, k.residue_id, o.pose_id, min_distance, vdw, es, total FROM k LEFT JOIN o USING (name, residue_id)
  UNION ALL SELECT name, residue_id, pose_id, NULL, vdw, es, total FROM e WHERE NOT EXISTS (SELECT 1 FROM k WHERE k.name = e.name AND k.residue_id = e.residue_id) AND total < -0.5)
 SELECT *, CASE WHEN min_distance <= 4.5 AND total IS NULL THEN 'contact_only' WHEN min_distance <= 4.5 AND total < -0.5 THEN 'contact_and_energy' WHEN min_distance <= 4.5 THEN 'contact_no_energy' WHEN total < -0.5 THEN 'long_range_ES' ELSE 'weak' END AS category FROM u""",
     "zone_contacts": f"WITH {_CONTACTS} SELECT coalesce(zone_label, 'other') AS zone, count(DISTINCT residue) AS n_residues, count(DISTINCT molecule_name) AS n_molecules, count(*) AS n_contacts, count(*) FILTER (druglike) AS n_druglike FROM m LEFT JOIN receptor_residues x ON m.residue = x.residue_id GROUP BY 1",
-    "zone_energies": f"""WITH {_CONTACTS}, g AS (SELECT residue, count(DISTINCT molecule_name) AS n, round(avg(min_distance), 9) AS d FROM m GROUP BY 1),
+    "zone_energies": f"""WITH {_CONTACTS}, g AS (SELECT residue, count(DISTINCT molecule_name) AS n, round(avg(min_distance), @9) AS d FROM m GROUP BY 1),
 z AS (SELECT coalesce(zone_label, 'other') AS zone_label, residue, n, d, row_number() OVER (PARTITION BY coalesce(zone_label, 'other') ORDER BY -d NULLS FIRST, residue) AS k FROM g LEFT JOIN receptor_residues x ON residue = x.residue_id)
-SELECT zone_label, count(*) AS n_residues, round(sum(-d), 9) AS sum_total, CAST(sum(n) AS DOUBLE) AS sum_vdw, CAST(0 AS DOUBLE) AS sum_es, string_agg(CASE WHEN k <= 5 THEN residue END, ',' ORDER BY k) AS strongest FROM z GROUP BY 1""",
+SELECT zone_label, count(*) AS n_residues, round(sum(-d), @9) AS sum_total, CAST(sum(n) AS DOUBLE) AS sum_vdw, CAST(0 AS DOUBLE) AS sum_es, string_agg(CASE WHEN k <= 5 THEN residue END, ',' ORDER BY k) AS strongest FROM z GROUP BY 1""",
     "residue_mapping": "SELECT ordinal AS seq_id, residue_name || residue_number || '.' || chain AS residue_id FROM receptor_residues",
 }

@@ -98,22 +98,28 @@ _PAIRS = _V + ", p AS (SELECT a.name, a.pose_index AS pose_a, b.pose_index AS po
 SQL = {
     "distance_contacts": f"""WITH {_C}, p AS (SELECT molecule_name, residue_id, {_D2} AS d2 FROM c, receptor_residues WHERE {_D2} <= 4.5 * 4.5),
 g AS (SELECT molecule_name, residue_id, sqrt(min(d2)) AS d, count(*) AS n_atom_contacts FROM p GROUP BY 1, 2)
-SELECT molecule_name, residue_id, round(d, 9) AS min_distance, n_atom_contacts, CASE WHEN round(d, 6) < 2.5 THEN 'strong_hbond' WHEN round(d, 6) < 3.5 THEN 'hbond' WHEN round(d, 6) < 4.5 THEN 'vdw' ELSE 'weak' END AS contact_type FROM g""",
+SELECT molecule_name, residue_id, round(d, @9) AS min_distance, n_atom_contacts, CASE WHEN round(d, 6) < 2.5 THEN 'strong_hbond' WHEN round(d, 6) < 3.5 THEN 'hbond' WHEN round(d, 6) < 4.5 THEN 'vdw' ELSE 'weak' END AS contact_type FROM g""",
     "receptor_atom_contacts": f"WITH {_C} SELECT campaign_id, residue_id, count(DISTINCT ordinal) AS n_atom_contacts FROM c, receptor_residues WHERE {_D2} < 25 GROUP BY 1, 2",
-    "binding_box": f"WITH {_C}, b AS (SELECT campaign_id, " + ", ".join(f"(min({a}) + max({a})) / 2 AS center_{a}, greatest(max({a}) - min({a}) + 12, 10) AS size_{a}" for a in "xyz") + " FROM c GROUP BY 1) SELECT campaign_id, " + ", ".join(f"round({k}_{a} + 1.7e-10, 6) AS {k}_{a}" for a in "xyz" for k in ("center", "size")) + ", round(size_x * size_y * size_z + 1.7e-10, 6) AS volume FROM b",
-    "campaign_centroid": f"WITH {_C} SELECT campaign_id, round(avg(x), 9) AS x, round(avg(y), 9) AS y, round(avg(z), 9) AS z FROM c GROUP BY 1",
+    "binding_box": f"WITH {_C}, b AS (SELECT campaign_id, " + ", ".join(f"(min({a}) + max({a})) / 2 AS center_{a}, greatest(max({a}) - min({a}) + 12, 10) AS size_{a}" for a in "xyz") + " FROM c GROUP BY 1) SELECT campaign_id, " + ", ".join(f"round({k}_{a}, @6) AS {k}_{a}" for a in "xyz" for k in ("center", "size")) + ", round(size_x * size_y * size_z, @6) AS volume FROM b",
+    "campaign_centroid": f"WITH {_C} SELECT campaign_id, round(avg(x), @9) AS x, round(avg(y), @9) AS y, round(avg(z), @9) AS z FROM c GROUP BY 1",
     "residue_centroids": "SELECT residue_id, ca_x AS x, ca_y AS y, ca_z AS z FROM receptor_residues",
     "trimmed_receptor": "SELECT residue_id, ordinal AS ord FROM receptor_residues WHERE (ca_x - 5) ** 2 + ca_y ** 2 + ca_z ** 2 <= 144",
-    "pair_rmsd": f"WITH {_PAIRS} SELECT name, pose_a, pose_b, round(rmsd, 9) AS rmsd FROM p",
-    "binding_mode_detail": f"WITH {_PAIRS} SELECT v.name, v.pose_index, v.score, round(avg(rmsd), 9) AS mean_rmsd, round(min(rmsd), 9) AS min_rmsd FROM v LEFT JOIN s USING (name, pose_index) GROUP BY 1, 2, 3",
-    "binding_mode_summary": f"""WITH {_PAIRS}, a AS (SELECT name, count(*) AS n_modes, min(score) AS best_score, max(score) AS worst_score, round(avg(score), 9) AS mean_score, round(stddev_pop(score), 9) AS std_score, round(max(score) - min(score), 9) AS spread, arg_min(pose_index, row(score, pose_index)) AS best_pose FROM v GROUP BY 1),
-b AS (SELECT name, round(avg(rmsd), 9) AS mean_rmsd, round(max(rmsd), 9) AS max_rmsd FROM p GROUP BY 1) SELECT * FROM a LEFT JOIN b USING (name)""",
+    "pair_rmsd": f"WITH {_PAIRS} SELECT name, pose_a, pose_b, round(rmsd, @9) AS rmsd FROM p",
+    "binding_mode_detail": f"WITH {_PAIRS} SELECT v.name, v.pose_index, v.score, round(avg(rmsd), @9) AS mean_rmsd, round(min(rmsd), @9) AS min_rmsd FROM v LEFT JOIN s USING (name, pose_index) GROUP BY 1, 2, 3",
+    "binding_mode_summary": f"""WITH {_PAIRS}, a AS (SELECT name, count(*) AS n_modes, min(score) AS best_score, max(score) AS worst_score, round(avg(score), @9) AS mean_score, round(stddev_pop(score), @9) AS std_score, round(max(score) - min(score), @9) AS spread, arg_min(pose_index, row(score, pose_index)) AS best_pose FROM v GROUP BY 1),
+b AS (SELECT name, round(avg(rmsd), @9) AS mean_rmsd, round(max(rmsd), @9) AS max_rmsd FROM p GROUP BY 1) SELECT * FROM a LEFT JOIN b USING (name)""",
     "redocking": f"""WITH {_V}, d AS (SELECT name, pose_index, sqrt(list_sum(list_transform(e, lambda x: x * x)) / 21) AS rmsd FROM v)
-SELECT name, count(*) AS n_poses, round(min(rmsd), 9) AS best_rmsd, arg_min(pose_index, row(rmsd, pose_index)) AS best_pose, round(avg(rmsd), 9) AS mean_rmsd, round(median(rmsd), 9) AS median_rmsd, round(max(rmsd), 9) AS worst_rmsd,
- count(*) FILTER (rmsd < 2) AS n_below_2, round(avg((rmsd < 2)::INT), 9) AS frac_below_2, count(*) FILTER (rmsd < 3) AS n_below_3 FROM d GROUP BY 1""",
+SELECT name, count(*) AS n_poses, round(min(rmsd), @9) AS best_rmsd, arg_min(pose_index, row(rmsd, pose_index)) AS best_pose, round(avg(rmsd), @9) AS mean_rmsd, round(median(rmsd), @9) AS median_rmsd, round(max(rmsd), @9) AS worst_rmsd,
+ count(*) FILTER (rmsd < 2) AS n_below_2, round(avg((rmsd < 2)::INT), @9) AS frac_below_2, count(*) FILTER (rmsd < 3) AS n_below_3 FROM d GROUP BY 1""",
     "hotspot_dbscan": f"""WITH RECURSIVE {_C}, n AS MATERIALIZED (SELECT a.campaign_id, a.centroid_id AS u, b.centroid_id AS v FROM c a JOIN c b ON a.campaign_id = b.campaign_id AND abs(a.x - b.x) <= 2.001 AND (a.x - b.x) ** 2 + (a.y - b.y) ** 2 + (a.z - b.z) ** 2 <= 4),
 k AS MATERIALIZED (SELECT u FROM n GROUP BY 1 HAVING count(*) >= 3), e AS MATERIALIZED (SELECT u, v FROM n WHERE u IN (SELECT u FROM k) AND v IN (SELECT u FROM k)),
 w(root, node) AS (SELECT u, u FROM k UNION SELECT w.root, e.v FROM w JOIN e ON e.u = w.node), g AS (SELECT node, min(root) AS cluster FROM w GROUP BY 1),
 z AS (SELECT n.u, min(g.cluster) AS cluster FROM n JOIN g ON g.node = n.v GROUP BY 1)
 SELECT c.campaign_id, c.centroid_id, coalesce(g.cluster, z.cluster) AS cluster, g.cluster IS NOT NULL AS is_core FROM c LEFT JOIN g ON g.node = c.centroid_id LEFT JOIN z ON z.u = c.centroid_id WHERE c.campaign_id IS NOT NULL""",
+    "pose_clusters": f"""WITH RECURSIVE {_V}, n AS MATERIALIZED (SELECT a.name, a.pose_index AS u, b.pose_index AS v FROM v a JOIN v b ON a.name = b.name
+ WHERE sqrt(list_sum(list_transform(list_zip(a.e, b.e), lambda t: (t[1] - t[2]) ** 2)) / 21) <= 0.15), k AS MATERIALIZED (SELECT name, u FROM n GROUP BY 1, 2 HAVING count(*) >= 4),
+e AS MATERIALIZED (SELECT n.* FROM n SEMI JOIN k USING (name, u) SEMI JOIN (SELECT name, u AS v FROM k) USING (name, v)),
+w(name, root, node) AS (SELECT name, u, u FROM k UNION SELECT w.name, w.root, e.v FROM w JOIN e ON e.name = w.name AND e.u = w.node), g AS (SELECT name, node, min(root) AS root FROM w GROUP BY 1, 2),
+o AS (SELECT name, root, dense_rank() OVER (PARTITION BY name ORDER BY root) - 1 AS c FROM (SELECT DISTINCT name, root FROM g)), z AS (SELECT n.name, n.u, min(o.c) AS c FROM n JOIN g ON g.name = n.name AND g.node = n.v JOIN o ON o.name = g.name AND o.root = g.root GROUP BY 1, 2)
+SELECT v.name, 0 AS fragment_id, pose_index, coalesce(o.c, z.c, -1) AS cluster FROM v LEFT JOIN g ON g.name = v.name AND g.node = pose_index LEFT JOIN o ON o.name = g.name AND o.root = g.root LEFT JOIN z ON z.name = v.name AND z.u = pose_index""",
 }

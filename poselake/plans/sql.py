@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -18,15 +19,32 @@ def LATEST_OK(table: str, key: Sequence[str], columns: str = "*") -> str:  # noq
     return LATEST(table, key, columns) + "".join(f" AND {k} IS NOT NULL" for k in key)
 
 
-#: Means of short decimals often end half-way between two rounded values; this moves them off the tie, alike in both engines.
-NUDGE = 1.7e-10
+#: The counting rows of the cross-engine ranking that have a name: rows without a source file are nobody's copies, so all stay.
+RANKING = "SELECT * FROM cross_engine_ranking QUALIFY name IS NOT NULL AND (source_file IS NULL OR row_number() OVER (PARTITION BY source_file, name ORDER BY loaded_at DESC NULLS LAST) = 1)"
+
+
+def _grid(digits: int) -> int:
+    return 1 << round(digits * 3.3219)
 
 
 def rounded(sql: str) -> str:
-    """``round(x, 9)`` of a query as :func:`r` has it."""
-    return sql.replace(", 9)", f" + {NUDGE}, 9)")
+    """``round(x, @digits)`` of a query as :func:`r` has it: x to the nearest multiple of a power of two."""
+    while m := re.search(r", @(\d)\)", sql):
+        at, depth = m.start(), 1
+        while depth:
+            at -= 1
+            depth += {")": 1, "(": -1}.get(sql[at], 0)
+        assert sql[at - 5 : at] == "round", sql[at - 20 : m.end()]
+        n = _grid(int(m[1]))
+        sql = f"{sql[: at - 5]}(floor(CAST({sql[at + 1 : m.start()]} AS DOUBLE) * {n} + 0.5) / {n}){sql[m.end() :]}"
+    return sql
 
 
 def r(df: DataFrame, *columns: str, digits: int = 9) -> DataFrame:
-    """``columns`` rounded, so that the last bits of floating sums don't matter."""
-    return df.withColumns({c: F.round(F.col(c) + NUDGE, digits) for c in columns})
+    """``columns`` to the nearest multiple of a power of two (2^-30 for 9 digits), so that the last bits of floating sums don't matter.
+
+    Means of short decimals often lie half-way between two decimals, but half-way between two such multiples only where
+    they are sums of powers of two, and these every engine adds up exactly.
+    """
+    n = float(_grid(digits))
+    return df.withColumns({c: F.floor(F.col(c) * n + 0.5) / n for c in columns})

@@ -40,11 +40,7 @@ def poses(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ranking(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
-    return latest(spark, sf, "cross_engine_ranking", *columns)
-
-
-def ranking_all(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
-    """As :func:`ranking`, with the rows whose source file is null: none of them is another's copy, so all count."""
+    """The counting rows of the cross-engine ranking that have a name; those whose source file is null are nobody's copies, so all count."""
     return latest(spark, sf, "cross_engine_ranking", *columns, required=["name"])
 
 

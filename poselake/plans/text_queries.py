@@ -66,6 +66,12 @@ SQL = {
     "best_mode_of_documents": f"WITH {_LINES} SELECT doc_id, count(*) AS n_modes, min(vina_affinity) AS best_vina, max(cnn_score) AS best_cnn FROM o GROUP BY 1",
     "poses_per_text": "SELECT doc_id, CAST((length(text) - length(replace(text, '@<TRIPOS>MOLECULE', ''))) / 17 AS BIGINT) AS n_molecules FROM documents WHERE source = 'scored_mol2_headers' AND text IS NOT NULL",
     "job_outcomes": """WITH s AS (SELECT CASE event_type WHEN 'click' THEN 'OK' WHEN 'view' THEN 'FAILED' WHEN 'purchase' THEN 'TIMEOUT' ELSE 'DRY_RUN' END AS s, value AS v FROM events)
-SELECT count(*) AS n, count(*) FILTER (s = 'OK') AS n_ok, count(*) FILTER (s = 'FAILED') AS n_failed, count(*) FILTER (s = 'TIMEOUT') AS n_timeout, count(*) FILTER (s = 'DRY_RUN') AS n_dry_run, round(sum(v) + 1.7e-10, 5) AS total_sec, round(avg(v) FILTER (s = 'OK') + 1.7e-10, 5) AS mean_sec FROM s""",
+SELECT count(*) AS n, count(*) FILTER (s = 'OK') AS n_ok, count(*) FILTER (s = 'FAILED') AS n_failed, count(*) FILTER (s = 'TIMEOUT') AS n_timeout, count(*) FILTER (s = 'DRY_RUN') AS n_dry_run, round(sum(v), @5) AS total_sec, round(avg(v) FILTER (s = 'OK'), @5) AS mean_sec FROM s""",
     "residues_by_number": r"SELECT residue_id, CAST(regexp_extract(residue_id, '(\d+)', 1) AS INT) AS number FROM receptor_residues",
+    "mol2_headers_of_documents": r"""WITH d AS (SELECT doc_id, string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10)) AS t FROM documents WHERE source = 'scored_mol2_headers' AND text IS NOT NULL),
+l AS (SELECT doc_id, unnest(t) AS line, generate_subscripts(t, 1) AS i FROM d),
+b AS (SELECT *, count(*) FILTER (regexp_matches(line, '^#{5,}[ \t]*Name:')) OVER (PARTITION BY doc_id ORDER BY i) - 1 AS block FROM l),
+k AS (SELECT doc_id, block, i, regexp_extract(line, '^#{5,}[ \t]*([^:]+?)[ \t]*:[ \t]*(.*?)[ \t]*$', ['key', 'value']) AS h FROM b WHERE block >= 0 AND regexp_matches(line, '^#{5,}[ \t]*([^:]+?)[ \t]*:'))
+SELECT doc_id, CAST(block AS INT) AS pose_index, arg_max(h.value, i) FILTER (h.key = 'Name') AS name, TRY_CAST(arg_max(h.value, i) FILTER (h.key = 'Grid_Score') AS DOUBLE) AS grid_score,
+ TRY_CAST(arg_max(h.value, i) FILTER (h.key = 'Grid_vdw_energy') AS DOUBLE) AS grid_vdw_energy FROM k GROUP BY 1, 2""",
 }

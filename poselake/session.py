@@ -32,12 +32,14 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "pos
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
-    A cluster names it in ``spark.checkpoint.dir``; that setting always wins. Only a session without
-    one (tests, local runs) gets a folder of its own, removed when Python ends.
+    A cluster names it in ``spark.checkpoint.dir``; that setting always wins. Only a local session without
+    one (tests) gets a folder of its own, removed when Python ends.
     """
     context = spark.sparkContext
     named = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not context.master.startswith("local"):
+            raise RuntimeError("a cluster must name a shared folder in spark.checkpoint.dir")
         named = tempfile.mkdtemp(prefix="poselake-checkpoint-")
         atexit.register(shutil.rmtree, named, True)
     if not context.getCheckpointDir():

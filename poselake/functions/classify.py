@@ -55,3 +55,36 @@ def energy_bin(total: Column) -> Column:
 def is_fragment_kind(label: Column, kind: str) -> Column:
     """``ring`` or ``linker``, by the label's prefix."""
     return F.coalesce(label.startswith(kind), F.lit(False))
+
+
+def fragment_assessment(energy: Column, convergence: Column) -> Column:
+    """What a fragment is good for, by its part of the affinity and its convergence; null without both."""
+    return (
+        F.when(energy.isNull() | convergence.isNull(), F.lit(None))
+        .when((energy < -3.0) & (convergence >= 0.7), "Anchor")
+        .when((energy < -2.0) & (convergence >= 0.7), "Reliable")
+        .when((energy < -3.0) & (convergence < 0.5), "Potent but variable")
+        .when(convergence < 0.3, "Unreliable")
+        .when(convergence >= 0.7, "Stable, weak")
+        .otherwise("Moderate")
+    )
+
+
+def residue_badge(energy: Column, consistency: Column) -> Column:
+    """What a residue means for a molecule, by mean energy and the share of poses that favour it; null where nothing stands out."""
+    return (
+        F.when((energy < -5) & (consistency > 0.8), "Anchor")
+        .when((energy < -2) & (consistency > 0.7), "Reliable")
+        .when((energy < -5) & (consistency < 0.5), "Strong but variable")
+        .when(consistency < 0.3, "Unreliable")
+    )
+
+
+def share_bin(share: Column, threshold: float = 0.8) -> Column:
+    """Share of molecules that gain by a residue, in three bins."""
+    return F.when(share >= threshold, "high").when(share >= 0.5, "medium").when(share.isNotNull(), "low")
+
+
+def stamp(moment: Column | None = None) -> Column:
+    """A moment (now, if none is given) as it stands in reports."""
+    return F.date_format(moment if moment is not None else F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")

@@ -120,3 +120,30 @@ def validation(spark: SparkSession, path: str | list[str], least_atoms: int = 50
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines(whole_files(spark, path))
+
+
+def ligand_validation(spark: SparkSession, path: str | list[str], share: float = 0.5) -> DataFrame:
+    """One row of checks per ligand file: it has atoms and bonds, charges that aren't all 0, and more than ``share`` Sybyl types."""
+    df = validation(spark, path, 0)
+    ok = F.col("has_atoms") & F.col("has_bonds") & (F.col("n_atoms") > 0) & F.coalesce("has_charges", F.lit(False)) & (F.coalesce("sybyl_share", F.lit(0.0)) > share)
+    return df.select("path", "n_atoms", "total_charge", "sybyl_share", "has_charges", ok.alias("valid"))
+
+
+def same_elements(left: DataFrame, right: DataFrame, name: str = "name") -> DataFrame:
+    """(name, same): whether two sources of one molecule list the same elements in the same order; ``elements`` is an array in both."""
+    b = right.select(name, F.col("elements").alias("__e"))
+    return left.select(name, "elements").join(b, name).select(name, F.coalesce(F.col("elements") == F.col("__e"), F.lit(False)).alias("same"))
+
+
+def synthesized_substructures(atoms: DataFrame, by: str = "path") -> DataFrame:
+    """(by, text): a SUBSTRUCTURE section from (by, ord, res_num, res_name, chain) of a receptor's atoms: each residue with its first atom, numbered in order."""
+    first = atoms.groupBy(by, "chain", "res_num", "res_name").agg(F.min("ord").alias("root"))
+    rows = F.sort_array(F.collect_list(F.struct("root", "res_name", "res_num", "chain")))  # a receptor's residues
+    line = lambda r, i: F.format_string("%6d %-8s %6d RESIDUE           4 %-1s %-4s", i + 1, F.concat(r["res_name"], r["res_num"].cast("string")), r["root"], r["chain"], r["res_name"])
+    return first.groupBy(by).agg(rows.alias("r")).select(by, F.concat(F.lit("@<TRIPOS>SUBSTRUCTURE\n"), F.concat_ws("\n", F.transform("r", line)), F.lit("\n")).alias("text"))
+
+
+def with_substructures(text: Column, section_text: Column) -> Column:
+    """A mol2 text with its SUBSTRUCTURE section replaced, or added where there is none."""
+    bare = F.regexp_replace(text, r"(?s)@<TRIPOS>SUBSTRUCTURE.*?(?=@<TRIPOS>|\z)", "")
+    return F.concat(F.regexp_replace(bare, r"\n*\z", "\n"), section_text)

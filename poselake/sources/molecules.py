@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.latest import first_present
+from ..sinks.workbook import read_workbook
 from . import mol2, sdf
-from .text import lines, tokens, whole_files
+from .text import counted, tokens
 
 #: Formats by suffix, and spellings of columns in order of preference.
 FORMATS = {".sdf": "sdf", ".sd": "sdf", ".csv": "csv", ".tsv": "csv", ".xlsx": "xlsx", ".xls": "xlsx", ".smi": "smiles", ".smiles": "smiles", ".txt": "smiles", ".mol2": "mol2"}
@@ -42,14 +43,13 @@ def discover(folder: str) -> dict[str, list[str]]:
 def tabular(spark: SparkSession, path: str, name_column: str | None = None, smiles_column: str | None = None) -> DataFrame:
     """(name, smiles, source_file, ordinal) of a CSV or TSV; rows without a SMILES are left out, without a name get ``MOL_n``."""
     if Path(path).suffix.lower() in (".xlsx", ".xls"):
-        df = spreadsheet(spark, path)
+        df = spreadsheet(spark, path).withColumn("__n", F.monotonically_increasing_id())  # of one partition
     else:
-        df = spark.read.csv(path, header=True, sep="\t" if path.lower().endswith(".tsv") else ",")
+        df = counted(spark.read.csv(path, header=True, sep="\t" if path.lower().endswith(".tsv") else ","), "__n")
     smiles = smiles_column or first_present(df, SMILES_COLUMNS)
     if smiles is None:
         raise ValueError(f"no SMILES column among {df.columns[:10]}")
     name = name_column or first_present(df, NAME_COLUMNS)
-    df = df.withColumn("__n", F.monotonically_increasing_id())
     text = F.trim(F.col(f"`{smiles}`").cast("string"))
     named = F.trim(F.col(f"`{name}`").cast("string")) if name else F.lit(None).cast("string")
     out = df.select(F.coalesce(F.nullif(named, F.lit("")), F.format_string("MOL_%04d", "__n")).alias("name"), text.alias("smiles"), F.lit(Path(path).name).alias("source_file"), F.col("__n").alias("ordinal"))
@@ -57,21 +57,21 @@ def tabular(spark: SparkSession, path: str, name_column: str | None = None, smil
 
 
 def smiles_file(spark: SparkSession, path: str) -> DataFrame:
-    """(name, smiles, source_file, ordinal): ``SMILES [name]`` per line; ``#`` lines and blank ones are skipped but counted in ``SMI_n``."""
-    df = lines(whole_files(spark, path)).withColumn("t", tokens(F.col("line")))
-    name = F.coalesce(F.get("t", 1), F.format_string("SMI_%04d", F.col("line_no") - 1))
-    return df.filter(~F.col("line").rlike(r"^\s*(#|$)")).select(name.alias("name"), F.get("t", 0).alias("smiles"), F.lit(Path(path).name).alias("source_file"), F.col("line_no").cast("long").alias("ordinal"))
+    """(name, smiles, source_file, ordinal): ``SMILES [name]`` per line; ``#`` lines and blank ones are skipped but counted in ``SMI_n``. The file is split between tasks."""
+    df = counted(spark.read.text(path), "line_no").withColumn("t", tokens(F.col("value")))
+    name = F.coalesce(F.get("t", 1), F.format_string("SMI_%04d", "line_no"))
+    return df.filter(~F.col("value").rlike(r"^\s*(#|$)")).select(name.alias("name"), F.get("t", 0).alias("smiles"), F.lit(Path(path).name).alias("source_file"), (F.col("line_no") + 1).alias("ordinal"))
 
 
 def spreadsheet(spark: SparkSession, path: str, heading: str | None = None) -> DataFrame:
-    """A sheet by pandas on the driver (needs its reader installed); ``heading``: the header is the first of ten rows holding it."""
+    """The first sheet of a workbook, read on the driver, as texts in one partition; ``heading``: the header is the first of ten rows holding it."""
     import pandas as pd
 
-    if heading is None:
-        pdf = pd.read_excel(path, dtype=str)
-    else:
-        pdf = _under_heading(pd.read_excel(path, dtype=str, header=None), heading)
-    return spark.createDataFrame(pdf.where(pdf.notna(), None))
+    rows = read_workbook(path)
+    wide = max(map(len, rows), default=0)
+    pdf = _under_heading(pd.DataFrame([r + [None] * (wide - len(r)) for r in rows], dtype=object), heading)
+    schema = ", ".join(f"`{c}` string" for c in pdf.columns)
+    return spark.createDataFrame([tuple(None if v is None else str(v) for v in r) for r in pdf.itertuples(index=False)], schema).coalesce(1)
 
 
 def selection(spark: SparkSession, path: str, heading: str = "Name") -> DataFrame:
@@ -85,10 +85,10 @@ def selection(spark: SparkSession, path: str, heading: str = "Name") -> DataFram
     return df.select(F.trim(heading).alias("name")).filter("name is not null and name <> ''")
 
 
-def _under_heading(pdf, heading: str):
+def _under_heading(pdf, heading: str | None):
     for i in range(min(10, len(pdf))):
-        row = [None if v != v else str(v).strip() for v in pdf.iloc[i]]
-        if heading in row:
+        row = [None if v is None or v != v else str(v).strip() for v in pdf.iloc[i]]
+        if heading in row or heading is None:
             out = pdf.iloc[i + 1 :].reset_index(drop=True)
             out.columns = [v or f"_{k}" for k, v in enumerate(row)]
             return out[[c for c in out.columns if not c.startswith("_")]]

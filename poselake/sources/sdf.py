@@ -39,13 +39,19 @@ def atom_terms(block: Column, n_heavy: Column) -> Column:
     return F.slice(F.transform(rows, lambda s: F.transform(tokens(s), lambda x: x.try_cast("double"))), 1, F.greatest(n_heavy, F.lit(0)))
 
 
+def _records(spark: SparkSession, path: str | list[str], pattern: str | None = None) -> DataFrame:
+    """Records between ``$$$$`` lines, whatever the line ends; blank ones are left out."""
+    df = records(spark, path, "$$$$", pattern).withColumn("value", F.regexp_replace("value", r"^[ \t]*\n", ""))
+    return df.filter(F.col("value").rlike(r"\S"))
+
+
 def library(spark: SparkSession, path: str | list[str], name_source: str = "first_word", name_property: str | None = None) -> DataFrame:
     """(path, record_no, name, rmsd, properties, block): molecules of (large) SDF files, split between tasks.
 
     ``name_source``: ``first_word`` or ``header`` of the title line, or ``property`` ``name_property``;
     an empty name becomes ``MOL_`` and the record's number.
     """
-    df = records(spark, path, "$$$$\n").filter(F.col("value").rlike(r"\S"))
+    df = _records(spark, path)
     df = df.withColumns({"properties": properties(F.col("value")), "title": F.trim(F.get(F.split("value", "\n"), 0))})
     name = {"first_word": F.get(tokens(F.col("title")), 0), "header": F.col("title"), "property": F.try_element_at("properties", F.lit(name_property or ""))}[name_source]
     named = F.coalesce(F.when(F.trim(name) != "", F.trim(name)), F.format_string("MOL_%04d", F.col("record_no")))
@@ -59,8 +65,7 @@ def docked_poses(spark: SparkSession, path: str | list[str], pattern: str | None
     The name is the file's, without a final ``_gnina``. Records without atoms give no row; properties that
     aren't numbers are left out of ``scores``; known ones have their columns' names.
     """
-    df = whole_files(spark, path, pattern)
-    poses = numbered(df, F.filter(F.split("value", r"\$\$\$\$\n?"), lambda s: s.rlike(r"\S")), "pose_index", "block")
+    poses = _records(spark, path, pattern).withColumnsRenamed({"record_no": "pose_index", "value": "block"}).withColumn("pose_index", F.col("pose_index").cast("int"))
     names = F.create_map(*[F.lit(x) for kv in PROPERTIES.items() for x in kv])
     numeric = F.map_filter(F.transform_values(properties(F.col("block")), lambda k, v: v.try_cast("double")), lambda k, v: v.isNotNull())
     scores = F.transform_keys(numeric, lambda k, v: F.coalesce(F.try_element_at(names, k), k))

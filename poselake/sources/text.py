@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -13,13 +13,23 @@ def whole_files(spark: SparkSession, path: str | list[str], pattern: str | None
     return df.withColumn("value", F.regexp_replace("value", "\r\n?", "\n"))
 
 
-def records(spark: SparkSession, path: str | list[str], end: str) -> DataFrame:
-    """(path, value, record_no): records of a large file that end with ``end``; the file is split between tasks.
+def counted(df: DataFrame, number: str) -> DataFrame:
+    """``df``, as a file scan gave it, with a running number from 0 in each file; files are split between tasks.
 
-    ``record_no`` grows in the order of the file but has gaps.
+    One more pass counts the rows of each split; a number is the place in the split plus the rows of the splits before.
     """
-    df = spark.read.option("lineSep", end).text(path)
-    return df.select(F.col("_metadata.file_path").alias("path"), F.regexp_replace("value", "\r\n?", "\n").alias("value"), F.monotonically_increasing_id().alias("record_no"))
+    placed = df.withColumns({"__path": F.col("_metadata.file_path"), "__split": F.col("_metadata.file_block_start"), "__id": F.monotonically_increasing_id()})
+    splits = placed.groupBy("__path", "__split").agg(F.count(F.lit(1)).alias("__n"), F.min("__id").alias("__first"))
+    before = Window.partitionBy("__path").orderBy("__split").rowsBetween(Window.unboundedPreceding, -1)  # a row for each split
+    base = splits.select("__path", "__split", (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first")).alias("__base"))
+    return placed.join(base, ["__path", "__split"]).withColumn(number, F.col("__id") + F.col("__base")).drop("__split", "__id", "__base")
+
+
+def records(spark: SparkSession, path: str | list[str], end: str, pattern: str | None = None) -> DataFrame:
+    """(path, value, record_no): records of large files that end with ``end``, numbered from 0 in each file; files are split between tasks."""
+    reader = spark.read.option("lineSep", end)
+    df = counted((reader.option("pathGlobFilter", pattern) if pattern else reader).text(path), "record_no")
+    return df.select(F.col("__path").alias("path"), F.regexp_replace("value", "\r\n?", "\n").alias("value"), "record_no")
 
 
 def numbered(df: DataFrame, pieces: Column, number: str, piece: str) -> DataFrame:

@@ -1,19 +1,15 @@
-import datetime as dt
+"""Rows of the cross-engine ranking without a source file count as well."""
 
-from poselake.plans import queries as Q
-from poselake.plans import source_queries
+from poselake.plans import rank_queries
 from poselake.plans import tables as T
 
-
-def test_rows_without_source_count(spark, tmp_path):
-    early, late = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
-    data = [("a", "s", -9.0, early), ("a", "s", -7.0, late), ("b", None, -8.0, early), (None, None, -9.5, early), (None, "s", -9.5, early)]
-    df = spark.createDataFrame(data, "name string, source_file string, vina_affinity double, loaded_at timestamp").selectExpr("*", "0.5D cnn_score", "-3D cnn_affinity")
-    df.write.parquet(f"{tmp_path}/cross_engine_ranking.parquet")
-    assert {(r.source_file, r.name, r.vina_affinity) for r in T.ranking_all(spark, str(tmp_path), "vina_affinity").collect()} == {("s", "a", -7.0), (None, "b", -8.0)}
-    assert {r.name: r.vina_rank for r in Q.queries()["engine_ranks_all"](spark, str(tmp_path)).collect()} == {"b": 1, "a": 2}
-    assert [r.name for r in Q.queries()["top30_vina_all"](spark, str(tmp_path)).collect()] == ["b", "a"]
+COLUMNS = "name string, source_file string, vina_affinity double, cnn_score double, cnn_affinity double, loaded_at timestamp"
 
 
-def test_sql_has_all_rows():
-    assert all(source_queries._ALL in sql and source_queries._X not in sql and source_queries._OK not in sql for sql in source_queries.SQL.values())
+def test_rows_without_a_source_file_stay(spark, tmp_path):
+    rows = [("a", "f", -1.0), ("a", "f", -2.0), ("a", None, -3.0), ("b", None, -4.0), (None, "f", -9.0)]
+    df = spark.createDataFrame([(n, s, v, 0.5, v) for n, s, v in rows], COLUMNS.rsplit(",", 1)[0]).selectExpr("*", "timestamp_seconds(-vina_affinity) AS loaded_at")
+    df.write.parquet(f"{tmp_path}/cross_engine_ranking.parquet")
+    got = {(r.name, r.source_file, r.vina_affinity) for r in T.ranking(spark, str(tmp_path), "vina_affinity").collect()}
+    assert got == {("a", "f", -2.0), ("a", None, -3.0), ("b", None, -4.0)}
+    assert {(r.name, r.vina_rank) for r in rank_queries.engine_ranks(spark, str(tmp_path)).collect()} == {("b", 1), ("a", 2), ("a", 3)}

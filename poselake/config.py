@@ -34,6 +34,16 @@ class Config:
     n_sweet_spots: int = 10
     engine: str = "both"
     ph: float | None = None
+    ph_levels: tuple[float, ...] = (7.4,)
+    molecule_names: tuple[str, ...] = ()
+    every_cluster: bool = False
+    execute: bool = False
+    jobs_folder: str = "jobs"
+    receptor_file: str = "receptor.pdb"
+    spheres_file: str = "selected_spheres.sph"
+    grid_prefix: str = "grid"
+    definitions: str = "vdw.defn"
+    timeout: float = 1800.0
 
 
 def merged(*levels: Mapping[str, object] | None) -> Config:

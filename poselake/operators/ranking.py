@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.classify import dominance
 from ..session import cut
@@ -49,11 +50,17 @@ def competition_ranks(df: DataFrame, ranks: Mapping[str, tuple[Column, bool]]) -
     own = F.coalesce(F.sum("n").over(Window.partitionBy("which", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     found = placed.withColumn("own", own).join(F.broadcast(base), ["which", "part"]).select("which", "v", (F.col("base") + F.col("own") + 1).cast("long").alias("rank"))
     for name in ranks:
-        found_one = found.filter(F.col("which") == name).select(F.col("v").alias(f"__{name}"), F.col("rank").alias(name))
-        keyed = keyed.join(found_one, f"__{name}", "left")
+        # Rows without a value match nothing: a hash spreads them, or they would all meet in one task.
+        spread = F.when(F.col(f"__{name}").isNull(), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns if _hashable(df.schema[c].dataType)])).otherwise(F.lit(0).cast("long"))
+        found_one = found.filter(F.col("which") == name).select(F.col("v").alias(f"__{name}"), F.lit(0).cast("long").alias("__spread"), F.col("rank").alias(name))
+        keyed = keyed.withColumn("__spread", spread).join(found_one, [f"__{name}", "__spread"], "left").drop("__spread")
     return keyed.select(*df.columns, *ranks)
 
 
+def _hashable(kind: T.DataType) -> bool:
+    return not isinstance(kind, (T.MapType, T.VariantType, T.StructType, T.ArrayType))
+
+
 def competition_rank(df: DataFrame, value: str, name: str, ascending: bool = True) -> DataFrame:
     """One ranking; see :func:`competition_ranks`."""
     return competition_ranks(df, {name: (F.col(value), ascending)})

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.classify import energy_bin, residue_badge, share_bin
 from ..operators import contacts as K
 from ..operators import footprint as P
 from . import tables as T
@@ -50,6 +51,24 @@ def residue_importance(spark: SparkSession, sf: str) -> DataFrame:
     return r(out.select("residue_id", "n_molecules", "importance"), "importance")
 
 
+def consensus_top25(spark: SparkSession, sf: str) -> DataFrame:
+    """The 25 residues of lowest mean energy, binned by energy and by the share of molecules that gain by them."""
+    out = r(P.residue_consensus(T.footprint(spark, sf)), "mean_total", "frac_contributing").orderBy("mean_total", "residue_id").limit(25)
+    return out.select("residue_id", "mean_total", "frac_contributing", energy_bin(F.col("mean_total")).alias("energy_bin"), share_bin(F.col("frac_contributing")).alias("share_bin"))
+
+
+def reference_top30(spark: SparkSession, sf: str) -> DataFrame:
+    """The 30 residues of lowest energy in the poses, beside the reference's."""
+    out = r(P.residue_consensus(T.footprint(spark, sf)), "mean_total").withColumn("ref_total", F.col("ref_vdw") + F.col("ref_es"))
+    return out.orderBy("mean_total", "residue_id").limit(30).select("residue_id", "mean_total", "ref_total")
+
+
+def residue_badges(spark: SparkSession, sf: str) -> DataFrame:
+    """Residues of molecules by what they mean for them."""
+    badge = residue_badge(F.col("mean_total"), F.col("consistency"))
+    return r(P.consistency(T.footprint(spark, sf)), "mean_total", "consistency").groupBy(badge.alias("badge")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def contact_vs_footprint(spark: SparkSession, sf: str) -> DataFrame:
     lines, parts = T.raw(spark, sf, "lineitem", "l_suppkey", "l_partkey", "l_quantity"), T.raw(spark, sf, "part", "p_partkey", "p_brand")
     near = lines.filter("l_quantity <= 3").join(parts, lines.l_partkey == parts.p_partkey).groupBy(F.col("l_suppkey").alias("name"), F.col("p_brand").alias("residue_id")).agg((F.min("l_quantity") + 2.0).alias("min_distance"))
@@ -78,7 +97,7 @@ def residue_mapping(spark: SparkSession, sf: str) -> DataFrame:
     return P.numbering_map(subs, rec.select("ordinal", F.col("residue_name").alias("resname"), F.col("residue_number").alias("resid"), "chain"))
 
 
-QUERIES = [footprint_summary, footprint_best_pose, residue_consistency, weighted_consistency, residue_consensus, pharmacophore_residues, reference_deltas, residue_importance, contact_vs_footprint, zone_contacts, zone_energies, residue_mapping]
+QUERIES = [footprint_summary, footprint_best_pose, residue_consistency, weighted_consistency, residue_consensus, pharmacophore_residues, reference_deltas, residue_importance, consensus_top25, reference_top30, residue_badges, contact_vs_footprint, zone_contacts, zone_energies, residue_mapping]
 
 _F = """f AS (SELECT l_suppkey AS name, CAST(l_orderkey % 16 AS INT) AS pose_id, p_brand AS residue_id, (round(l_discount * 20 - 1.5, 4) + 0.0) AS vdw, (round(l_tax * 30 - l_quantity / 20, 4) + 0.0) AS es,
  round((round(l_discount * 20 - 1.5, 4) + 0.0) + (round(l_tax * 30 - l_quantity / 20, 4) + 0.0), 4) + 0.0 AS total, p_size / -50.0 AS ref_vdw, CAST(-0.25 AS DOUBLE) AS ref_es, p_size / -50.0 - 0.25 AS ref_total FROM lineitem JOIN part ON l_partkey = p_partkey)"""
@@ -104,6 +123,11 @@ SQL = {
     "pharmacophore_residues": f"WITH {_CONSENSUS.format(cutoff=-1.0)} SELECT residue_id, n_contributing, min_total FROM c, a WHERE n_contributing / n_all >= 0.8",
     "reference_deltas": f"WITH {_F} SELECT residue_id, count(*) AS n, round(min(total - ref_total), 6) AS min_delta, round(max(total - ref_total), 6) AS max_delta FROM f WHERE abs(total - ref_total) > 2.5 GROUP BY 1",
     "residue_importance": f"WITH {_CONSENSUS.format(cutoff=-0.5)} SELECT residue_id, n_molecules, round(n_molecules * abs(mean_total), @9) AS importance FROM c ORDER BY n_molecules * abs(mean_total) DESC, residue_id LIMIT 20",
+    "consensus_top25": f"""WITH {_CONSENSUS.format(cutoff=-0.5)}, t AS (SELECT residue_id, round(mean_total, @9) AS mean_total, round(n_contributing / n_all, @9) AS frac_contributing FROM c, a ORDER BY mean_total, residue_id LIMIT 25)
+SELECT *, CASE WHEN mean_total < -1.0 THEN 'strong' WHEN mean_total < -0.5 THEN 'moderate' ELSE 'weak' END AS energy_bin, CASE WHEN frac_contributing >= 0.8 THEN 'high' WHEN frac_contributing >= 0.5 THEN 'medium' ELSE 'low' END AS share_bin FROM t""",
+    "reference_top30": f"WITH {_CONSENSUS.format(cutoff=-0.5)}, t AS (SELECT residue_id, round(c.mean_total, @9) AS mean_total, ref_vdw + ref_es AS ref_total FROM c) SELECT * FROM t ORDER BY mean_total, residue_id LIMIT 30",
+    "residue_badges": f"""WITH {_CONSISTENT}, t AS (SELECT round(mean_total, @9) AS m, round(consistency, @9) AS k FROM c)
+SELECT CASE WHEN m < -5 AND k > 0.8 THEN 'Anchor' WHEN m < -2 AND k > 0.7 THEN 'Reliable' WHEN m < -5 AND k < 0.5 THEN 'Strong but variable' WHEN k < 0.3 THEN 'Unreliable' END AS badge, count(*) AS n FROM t GROUP BY 1""",
     "contact_vs_footprint": f"""WITH {_F}, k AS (SELECT l_suppkey AS name, p_brand AS residue_id, min(l_quantity) + 2.0 AS min_distance FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_quantity <= 3 GROUP BY 1, 2),
 e AS (SELECT name, residue_id, pose_id, min(vdw) AS vdw, min(es) AS es, min(total) AS total FROM f GROUP BY 1, 2, 3), o AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY name, residue_id ORDER BY pose_id) = 1),
 u AS (SELECT k.name, k.residue_id, o.pose_id, min_distance, vdw, es, total FROM k LEFT JOIN o USING (name, residue_id)

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.classify import stability
+from ..functions.classify import fragment_assessment, stability
 from ..operators import contacts as K
 from ..operators import dbscan as D
 from ..operators import export as X
 from ..operators import fragments as A
 from ..operators import ranking as R
 from ..operators import regression as O
+from ..operators import structures as S
+from ..operators.geometry import pose_pairs
 from . import tables as T
 from .footprint_queries import _CONTACTS
 from .geometry_queries import _C, _V, _centroids, _conformations
@@ -126,12 +128,29 @@ def pose_medoids(spark: SparkSession, sf: str) -> DataFrame:
     """Medoids of vectors' clusters by nearest label group, at most three a fragment."""
     poses = _conformations(spark, sf)
     labels = poses.select("name", F.lit(0).alias("fragment_id"), "pose_index", (F.col("pose_index") % 5 - 1).cast("int").alias("cluster"))
-    from ..operators.geometry import pose_pairs
-
     pairs = pose_pairs(poses).withColumn("fragment_id", F.lit(0))
     return A.selected_structures(A.medoids(pairs, labels), 3)
 
 
+def export_selection(spark: SparkSession, sf: str) -> DataFrame:
+    """Poses to be written out: medoids of the largest clusters, the consensus pose, the best pose of the three best label tuples."""
+    poses = _conformations(spark, sf)
+    labels = poses.select("name", F.lit(0).alias("fragment_id"), "pose_index", (F.col("pose_index") % 5 - 1).cast("int").alias("cluster"))
+    scores = poses.select("name", "pose_index", F.lit("score").alias("score_key"), F.col("score").alias("value"))
+    return S.export_selection(pose_pairs(poses).withColumn("fragment_id", F.lit(0)), labels, A.dominant_clusters(labels), scores)
+
+
+def best_fragments(spark: SparkSession, sf: str) -> DataFrame:
+    """Each molecule's fragment of lowest weight * convergence."""
+    return A.weighted_convergence(_weighted(spark, sf)).select("name", F.regexp_replace("best_fragment", r" \([^()]*\)$", "").alias("best_fragment"))
+
+
+def fragment_assessments(spark: SparkSession, sf: str) -> DataFrame:
+    """Fragments by what they are good for, rings and linkers apart."""
+    what = fragment_assessment(F.col("weight"), F.col("dominant_fraction"))
+    return _weighted(spark, sf).groupBy("is_ring", what.alias("assessment")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def contact_consensus(spark: SparkSession, sf: str) -> DataFrame:
     return r(K.contact_consensus(T.molecule_contacts(spark, sf)), "mean_distance", "mean_contacts", "frac_molecules")
 
@@ -174,7 +193,7 @@ def top_fragments(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = [
-    cluster_score_stats, dominant_clusters, sweet_spots, full_consensus_poses, fragment_energies, ols_fits, ols_decomposition, ols_single_fits, ols_single_parts, convergence, composite_ranking, hotspot_stats, hotspot_votes, pose_medoids,
+    cluster_score_stats, dominant_clusters, sweet_spots, full_consensus_poses, fragment_energies, ols_fits, ols_decomposition, ols_single_fits, ols_single_parts, convergence, composite_ranking, hotspot_stats, hotspot_votes, pose_medoids, export_selection, best_fragments, fragment_assessments,
     contact_consensus, contact_votes, contact_heat_top, nearest_residues, hit_export, missing_originals, poses_per_source, top_fragments,
 ]
 
@@ -231,6 +250,17 @@ SELECT hotspot, n_molecules, n_fragments, row_number() OVER (ORDER BY n_molecule
 d AS (SELECT a.name, a.cluster, a.pose_index, sum(sqrt(list_sum(list_transform(list_zip(a.e, b.e), lambda t: (t[1] - t[2]) ** 2)) / 21)) AS s FROM k a JOIN k b ON a.name = b.name AND a.cluster = b.cluster GROUP BY 1, 2, 3),
 m AS (SELECT name, cluster, arg_min(pose_index, row(s, pose_index)) AS pose_index, count(*) AS size FROM d GROUP BY 1, 2)
 SELECT name, 0 AS fragment_id, cluster, pose_index, size, row_number() OVER (PARTITION BY name ORDER BY size DESC, cluster) AS place FROM m QUALIFY place <= 3""",
+    "export_selection": f"""WITH {_V}, k AS (SELECT name, pose_index, CAST(pose_index % 5 - 1 AS INT) AS cluster, score, e FROM v), z AS (SELECT name, cluster, count(*) AS n FROM k GROUP BY 1, 2),
+b AS (SELECT name, coalesce(arg_min(cluster, row(-n, cluster)) FILTER (cluster >= 0), -1) AS dom FROM z GROUP BY 1),
+d AS (SELECT a.name, a.cluster, a.pose_index, sum(sqrt(list_sum(list_transform(list_zip(a.e, b.e), lambda t: (t[1] - t[2]) ** 2)) / 21)) AS s FROM k a JOIN k b ON a.name = b.name AND a.cluster = b.cluster GROUP BY 1, 2, 3),
+m AS (SELECT name, cluster, arg_min(pose_index, row(s, pose_index)) AS pose_index, count(*) AS size FROM d GROUP BY 1, 2),
+p AS (SELECT name, 'frag0_cl' || cluster AS label, pose_index FROM m WHERE cluster >= 0 QUALIFY row_number() OVER (PARTITION BY name ORDER BY size DESC, cluster) <= 3),
+t AS (SELECT name, cluster, row_number() OVER (PARTITION BY name ORDER BY avg(score), cluster) AS place FROM k WHERE cluster >= 0 GROUP BY 1, 2 QUALIFY place <= 3)
+SELECT * FROM p UNION ALL SELECT m.name, 'full_consensus', pose_index FROM m JOIN b ON b.name = m.name AND b.dom = m.cluster
+UNION ALL SELECT k.name, 'sweet' || place || '_score', arg_min(pose_index, row(score, pose_index)) FROM k JOIN t USING (name, cluster) GROUP BY k.name, place""",
+    "best_fragments": f"WITH {_CONV} SELECT name, arg_min(fragment_label, row(w * c, fragment_label)) AS best_fragment FROM w GROUP BY 1",
+    "fragment_assessments": f"""WITH {_FC}, w AS (SELECT is_ring, dominant_fraction AS c, score_contribution AS e FROM v WHERE molecule_name IS NOT NULL AND isfinite(dominant_fraction) AND isfinite(score_contribution) AND fragment_label IS NOT NULL)
+SELECT is_ring, CASE WHEN e < -3 AND c >= 0.7 THEN 'Anchor' WHEN e < -2 AND c >= 0.7 THEN 'Reliable' WHEN e < -3 AND c < 0.5 THEN 'Potent but variable' WHEN c < 0.3 THEN 'Unreliable' WHEN c >= 0.7 THEN 'Stable, weak' ELSE 'Moderate' END AS assessment, count(*) AS n FROM w GROUP BY 1, 2""",
     "contact_consensus": f"WITH {_CONTACTS} SELECT residue, count(DISTINCT molecule_name) AS n_molecules, round(avg(min_distance), @9) AS mean_distance, round(avg(n_atom_contacts), @9) AS mean_contacts, round(count(DISTINCT molecule_name) / (SELECT count(DISTINCT molecule_name) FROM m), @9) AS frac_molecules FROM m GROUP BY 1",
     "contact_votes": f"""WITH {_CONTACTS}, g AS (SELECT fragment_label, count(DISTINCT molecule_name) AS n_group FROM m WHERE fragment_label IS NOT NULL GROUP BY 1),
 o AS (SELECT fragment_label, residue, contact_type, count(*) AS n FROM m WHERE contact_type IS NOT NULL AND fragment_label IS NOT NULL GROUP BY 1, 2, 3), y AS (SELECT fragment_label, residue, arg_min(contact_type, row(-n, contact_type)) AS dominant_type FROM o GROUP BY 1, 2),

@@ -261,6 +261,7 @@ def oracle_sql() -> dict[str, str]:
 c AS (SELECT kind, first_id, avg(x) AS cx, avg(y) AS cy, avg(z) AS cz FROM m GROUP BY 1, 2),
 d AS (SELECT m.*, sqrt((x - cx) ** 2 + (y - cy) ** 2 + (z - cz) ** 2) AS d FROM m JOIN c USING (kind, first_id))
 SELECT kind, campaign_id, first_id, count(*) AS n_members, max(d) AS radius, list(id ORDER BY round(d, 9), id)[1:3] AS typical FROM d GROUP BY ALL""",
+        "p6_roundtrip": "SELECT true AS same, count(*) AS n_docs FROM documents HAVING count(*) > 0",
         "p1_terms": _P1 + "SELECT * FROM m",
         "p1_found": _P1 + "SELECT field_name, term, mark FROM m WHERE mark IS NOT NULL",
         "p2_cutoffs": _P2 + "SELECT n.source_file, n.score_name, t.target_percent, b.cutoff, n.n_total, coalesce(c.n_kept, 0) AS n_kept, coalesce(c.n_tied, 0) AS n_tied "
